@@ -81,12 +81,12 @@ def adt_dead_letter(spark, sf_dir):
     env = derived.derived_envelopes(spark, sf_dir)
     key = F.when(F.col("tenantId") == "5-LOW", F.concat(F.lit("other_"), F.col("id"))) \
         .otherwise(F.concat(F.lit("pid_"), F.col("patientId"), F.lit("_"), F.col("id")))
-    damaged = env.withColumn("PID", F.when(F.col("PID").isNull() & F.col("PV1").isNotNull(),
+    damaged = env.withColumn("_key", key).withColumn("PID", F.when(F.col("PID").isNull() & F.col("PV1").isNotNull(),
                                            F.col("PV1")).otherwise(F.col("PID"))) \
         .withColumn("patientId", F.when(F.col("PV1") == "PV1", F.lit(None))
                     .otherwise(F.col("patientId")))
     body = F.to_json(F.struct(*[F.col(c) for c in env.columns]))
-    docs = damaged.select(key.alias("key"), F.when(F.col("EVN").contains("|REG_P|"),
+    docs = damaged.select(F.col("_key").alias("key"), F.when(F.col("EVN").contains("|REG_P|"),
                                                    F.concat(F.lit("<"), body)).otherwise(body)
                           .alias("json"))
     _, dead = deadletter.route_dead_letters(docs)

@@ -89,8 +89,8 @@ def segments_from_blob(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
         else F.col(blob_col)
     segs = F.split(text, r"\r\n|\r|\n")
     cols = [F.col(m) for m in meta if m in rows.columns]
-    seg_cols = []
-    for s in segments:
-        hits = F.filter(segs, lambda x, s=s: x.startswith(s + "|") | (x == F.lit(s)))
-        seg_cols.append(F.try_element_at(hits, F.lit(-1)).alias(s))
+    def is_seg(seg_id: str):
+        return lambda x: x.startswith(seg_id + "|") | (x == F.lit(seg_id))
+
+    seg_cols = [F.try_element_at(F.filter(segs, is_seg(s)), F.lit(-1)).alias(s) for s in segments]
     return rows.select(*cols, *seg_cols)
