@@ -1,6 +1,6 @@
-"""Column expressions over pipe-delimited HL7 v2 segment text.
+"""Expressions over pipe-delimited HL7 v2 segment text.
 
-All of these are built-in Spark expressions (no Python UDF): a segment is
+All of these are built-in Spark SQL expressions (no Python UDF): a segment is
 split once on `|` into its fields; a field splits on `~` into repetitions and a
 repetition on `^` into components.  Element 0 of the field array is the segment
 id, so field n is element n.
@@ -8,6 +8,10 @@ id, so field n is element n.
 Blank means empty after `trim` (spaces only).  The default reading of a
 component is the last repetition whose value is not blank; a blank in the
 last repetition leaves an earlier value standing.
+
+Each builder returns Spark SQL expression text (`*_sql`), so a projection of
+hundreds of columns is handed to the JVM in one `selectExpr` call; the
+`Column` forms wrap the same text with `F.expr` for single use.
 """
 
 from __future__ import annotations
@@ -20,99 +24,102 @@ REP_SEP = "~"
 COMP_SEP = r"\^"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def sql_str(value: str) -> str:
+    """A Spark SQL string literal for `value`."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def is_segment(text, seg_id: str) -> Column:
-    """True when `text` is a `seg_id` segment (`SEG|...` or the bare id)."""
-    t = _col(text)
-    sid = seg_id.upper()
-    return t.startswith(sid + "|") | (t == F.lit(sid))
+def ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def segment_fields(text, seg_id: str) -> Column:
+def segment_fields_sql(text: str, seg_id: str) -> str:
     """array<string> of the segment's fields, NULL unless it is a `seg_id` segment.
 
     A NULL, empty or foreign segment therefore contributes nothing, and every
-    column read from it is NULL (the row itself survives).
+    value read from it is NULL (the row itself survives).
     """
-    t = _col(text)
-    return F.when(is_segment(t, seg_id), F.split(t, FIELD_SEP))
+    sid = seg_id.upper()
+    return (f"CASE WHEN startswith({text}, {sql_str(sid + '|')}) OR {text} = {sql_str(sid)} "
+            f"THEN split({text}, {sql_str(FIELD_SEP)}) END")
 
 
-def field(fields, n: int) -> Column:
+def field_sql(fields: str, n: int) -> str:
     """Field n (1-based) of a field array; NULL when absent (no ANSI error)."""
-    return F.get(_col(fields), F.lit(n))
+    return f"get({fields}, {n})"
 
 
-def not_blank(v) -> Column:
-    v = _col(v)
-    return F.when(F.trim(v) != F.lit(""), v)
+def not_blank_sql(v: str) -> str:
+    return f"CASE WHEN trim({v}) <> '' THEN {v} END"
 
 
-def last_component(field_text, comp: int) -> Column:
-    """Component `comp` of the last repetition in which it is not blank.
+def last_component_pattern(comp: int) -> str:
+    """Regex whose group 1 is component `comp` of the last repetition in which
+    it holds a non-space character: skip greedily to the latest `~` after
+    which that component is not blank."""
+    return r"(?s)^(?:.*~)?(?:[^~^]*\^){%d}([^~^]*[^~^ ][^~^]*)(?:[~^].*)?$" % (comp - 1)
 
-    One regular expression, no lambda, so the projection stays inside
-    whole-stage codegen: skip greedily to the latest `~` after which the
-    repetition's `comp`-th component holds a non-space character.
-    """
-    pattern = (
-        r"(?s)^(?:.*~)?(?:[^~^]*\^){%d}([^~^]*[^~^ ][^~^]*)(?:[~^].*)?$" % (comp - 1)
-    )
-    return F.nullif(F.regexp_extract(_col(field_text), pattern, 1), F.lit(""))
 
+def last_component_sql(field_text: str, comp: int) -> str:
+    """Component `comp` of the last repetition in which it is not blank.
+    One regex, no lambda, so it stays inside generated code."""
+    return f"nullif(regexp_extract({field_text}, {sql_str(last_component_pattern(comp))}, 1), '')"
 
-def nth_component(field_text, comp: int, rep: int) -> Column:
-    """Component `comp` of repetition `rep` (both 1-based); blank -> NULL."""
-    reps = F.split(_col(field_text), REP_SEP)
-    r = F.get(reps, F.lit(rep - 1))
-    return not_blank(F.get(F.split(r, COMP_SEP), F.lit(comp - 1)))
 
+def nth_component_sql(field_text: str, comp: int, rep: int) -> str:
+    """Component `comp` of repetition `rep` (both 1-based); blank -> NULL."""
+    v = (f"get(split(get(split({field_text}, {sql_str(REP_SEP)}), {rep - 1}), "
+         f"{sql_str(COMP_SEP)}), {comp - 1})")
+    return not_blank_sql(v)
 
-def last_component_hof(field_text, comp: int) -> Column:
-    """Same result as `last_component`, written with higher-order functions.
 
-    Kept as the readable reference definition for tests; the regex form is
-    used on the hot path.
-    """
-    reps = F.split(_col(field_text), REP_SEP)
-    vals = F.transform(reps, lambda r: F.get(F.split(r, COMP_SEP), F.lit(comp - 1)))
-    kept = F.filter(vals, lambda v: F.trim(v) != F.lit(""))
-    return F.try_element_at(kept, F.lit(-1))
+def last_component_hof_sql(field_text: str, comp: int) -> str:
+    """Same result as `last_component_sql`, written with higher-order
+    functions; the readable definition the regex is tested against."""
+    return (f"try_element_at(filter(transform(split({field_text}, {sql_str(REP_SEP)}), "
+            f"r -> get(split(r, {sql_str(COMP_SEP)}), {comp - 1})), v -> trim(v) <> ''), -1)")
 
 
-def field_entries(seg_id: str, fields, excluded_fields: list[int],
-                  excluded_keys: list[str]) -> Column:
+def field_entries_sql(seg_id: str, fields: str, excluded_fields: list[int],
+                      excluded_keys: list[str]) -> str:
     """array<struct<key,value>> of every non-blank component of a segment.
 
     Keys are positional (`pid_6_1`); repetitions collapse to the last
     non-blank value.  Fields in `excluded_fields` and keys in `excluded_keys`
-    are left out.  Used for the `extras` map of unmapped values.
+    are left out.  Used for the `extras` map of unmapped values.  Each
+    field's repetitions are split once and bound to a lambda variable.
     """
     seg = seg_id.lower()
-    fields = _col(fields)
-    ex_fields = F.array(*[F.lit(i) for i in sorted(excluded_fields)]) if excluded_fields \
-        else F.array().cast("array<int>")
-    ex_keys = F.array(*[F.lit(k) for k in sorted(excluded_keys)]) if excluded_keys \
-        else F.array().cast("array<string>")
-
-    def per_field(f, i):
-        reps = F.transform(F.split(f, REP_SEP), lambda r: F.split(r, COMP_SEP))
-        ncomp = F.array_max(F.transform(reps, lambda r: F.size(r)))
-
-        def per_comp(c):
-            value = F.aggregate(
-                reps, F.lit(None).cast("string"),
-                lambda acc, r: F.when(F.trim(F.get(r, c - 1)) != F.lit(""), F.get(r, c - 1))
-                .otherwise(acc))
-            key = F.concat(F.lit(seg + "_"), i.cast("string"), F.lit("_"), c.cast("string"))
-            return F.struct(key.alias("key"), value.alias("value"))
-
-        keep = (i > 0) & ~F.array_contains(ex_fields, i)
-        return F.when(keep, F.transform(F.sequence(F.lit(1), ncomp), per_comp)) \
-            .otherwise(F.array().cast("array<struct<key:string,value:string>>"))
-
-    entries = F.flatten(F.transform(fields, per_field))
-    return F.filter(entries, lambda e: e["value"].isNotNull() & ~F.array_contains(ex_keys, e["key"]))
+    ex_f = "array(" + ", ".join(str(i) for i in sorted(excluded_fields)) + ")" \
+        if excluded_fields else "CAST(array() AS array<int>)"
+    ex_k = "array(" + ", ".join(sql_str(k) for k in sorted(excluded_keys)) + ")" \
+        if excluded_keys else "CAST(array() AS array<string>)"
+    empty = "CAST(array() AS array<struct<key:string,value:string>>)"
+    per_comp = (f"c -> named_struct('key', concat({sql_str(seg + '_')}, CAST(i AS STRING), '_', "
+                f"CAST(c AS STRING)), 'value', aggregate(reps, CAST(NULL AS STRING), "
+                f"(acc, r) -> CASE WHEN trim(get(r, c - 1)) <> '' THEN get(r, c - 1) ELSE acc END))")
+    with_reps = (f"reps -> transform(sequence(1, array_max(transform(reps, r -> size(r)))), "
+                 f"{per_comp})")
+    reps = (f"transform(split(f, {sql_str(REP_SEP)}), r -> split(r, {sql_str(COMP_SEP)}))")
+    per_field = (f"(f, i) -> CASE WHEN i > 0 AND trim(f) <> '' AND NOT array_contains({ex_f}, i) "
+                 f"THEN get(transform(array({reps}), {with_reps}), 0) ELSE {empty} END")
+    return (f"filter(flatten(transform({fields}, {per_field})), "
+            f"e -> e.value IS NOT NULL AND NOT array_contains({ex_k}, e.key))")
+
+
+# Column forms --------------------------------------------------------------
+
+def segment_fields(text: str, seg_id: str) -> Column:
+    return F.expr(segment_fields_sql(ident(text), seg_id))
+
+
+def last_component(field_text: str, comp: int) -> Column:
+    return F.expr(last_component_sql(ident(field_text), comp))
+
+
+def last_component_hof(field_text: str, comp: int) -> Column:
+    return F.expr(last_component_hof_sql(ident(field_text), comp))
+
+
+def nth_component(field_text: str, comp: int, rep: int) -> Column:
+    return F.expr(nth_component_sql(ident(field_text), comp, rep))

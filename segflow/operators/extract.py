@@ -1,10 +1,12 @@
 """HL7 flattening: envelopes -> wide patient rows, long field rows, extras.
 
-Everything is one projection (plus generators for the long form) over the
-envelope columns: no join, no shuffle, no Python.  Segment texts are split
-once per segment in a first projection; Catalyst keeps that projection
-because its arrays are used by many columns (it does not inline expensive
-expressions that are referenced more than once).
+Everything is projections (plus generators for the long form) over the
+envelope columns: no join, no shuffle, no Python.  The wide path is three
+projections: split each used segment once, split each used field once, then
+read every mapped value from the split parts.  Catalyst keeps them apart
+because each intermediate array is read by several columns (it does not
+inline expensive expressions referenced more than once).  Expressions are
+built as SQL text and applied with one `selectExpr` per projection.
 """
 
 from __future__ import annotations
@@ -16,22 +18,65 @@ from pyspark.sql import functions as F
 
 from segflow import layout
 from segflow.functions import hl7
+from segflow.functions.hl7 import ident, sql_str
 
+ENTRY_TYPE = "array<struct<key:string,value:string>>"
 
-def _segment_text(df: DataFrame, seg: str) -> Column:
+
+def _segment_text(df: DataFrame, seg: str) -> str:
     """The envelope column holding segment `seg` (lower-cased names), or NULL."""
-    return F.col(seg) if seg in df.columns else F.lit(None).cast("string")
+    return ident(seg) if seg in df.columns else "CAST(NULL AS STRING)"
 
 
 def _fields_name(seg: str) -> str:
     return f"__fields_{seg}"
 
 
-def _value(fields: Column, pos: layout.Position, numbered: bool) -> Column:
-    text = hl7.field(fields, pos.field)
+def _text_name(seg: str, field: int) -> str:
+    return f"__t_{seg}_{field}"
+
+
+def _parts_name(seg: str, field: int, rep: int | None) -> str:
+    return f"__c_{seg}_{field}" + ("" if rep is None else f"_{rep}")
+
+
+def _field_parts(cols: list[layout.Column], numbered: bool) -> list[str]:
+    """Second projection: each used field's text and its components, split
+    once.  Default mode splits only fields without a repetition (the common
+    case; repeated fields go through the regex); numbered mode splits the
+    repetitions it reads."""
+    out, seen = [], set()
+    for c in cols:
+        p = c.pos
+        text = hl7.field_sql(ident(_fields_name(p.segment)), p.field)
+        if numbered:
+            key = (p.segment, p.field, p.rep or 1)
+            if key not in seen:
+                seen.add(key)
+                rep = f"get(split({text}, {sql_str(hl7.REP_SEP)}), {(p.rep or 1) - 1})"
+                out.append(f"split({rep}, {sql_str(hl7.COMP_SEP)}) AS "
+                           f"{ident(_parts_name(p.segment, p.field, p.rep or 1))}")
+            continue
+        key = (p.segment, p.field)
+        if key not in seen:
+            seen.add(key)
+            out.append(f"{text} AS {ident(_text_name(p.segment, p.field))}")
+            out.append(f"CASE WHEN NOT contains({text}, '~') THEN split({text}, "
+                       f"{sql_str(hl7.COMP_SEP)}) END AS "
+                       f"{ident(_parts_name(p.segment, p.field, None))}")
+    return out
+
+
+def _value(pos: layout.Position, numbered: bool) -> str:
+    """Third projection: one mapped value from the pre-split parts."""
     if numbered:
-        return hl7.nth_component(text, pos.component, pos.rep or 1)
-    return hl7.last_component(text, pos.component)
+        parts = ident(_parts_name(pos.segment, pos.field, pos.rep or 1))
+        return hl7.not_blank_sql(f"get({parts}, {pos.component - 1})")
+    parts = ident(_parts_name(pos.segment, pos.field, None))
+    text = ident(_text_name(pos.segment, pos.field))
+    return (f"CASE WHEN {parts} IS NOT NULL THEN "
+            f"{hl7.not_blank_sql(f'get({parts}, {pos.component - 1})')} "
+            f"ELSE {hl7.last_component_sql(text, pos.component)} END")
 
 
 def extras_exclusions(seg: str, rules: layout.IgnoreRules, field_map=layout.FIELD_MAP,
@@ -68,29 +113,28 @@ def flatten_wide(envelopes: DataFrame,
     """
     rules = rules or layout.ignore_rules()
     segs = [s.lower() for s in segments]
-    keep = [k for k in keep]
+    keep = [ident(k) for k in keep]
     cols = layout.wide_columns(segs, numbered=numbered, rules=rules, field_map=field_map)
     used = [s for s in segs if extras or any(c.pos.segment == s for c in cols)]
 
-    split = envelopes.select(
-        *[F.col(k) for k in keep],
-        *[hl7.segment_fields(_segment_text(envelopes, s), s).alias(_fields_name(s)) for s in used])
+    split = envelopes.selectExpr(*keep, *[
+        f"{hl7.segment_fields_sql(_segment_text(envelopes, s), s)} AS {ident(_fields_name(s))}"
+        for s in used])
+    carried = [ident(_fields_name(s)) for s in used] if extras else []
+    parts = split.selectExpr(*keep, *carried, *_field_parts(cols, numbered))
 
-    out = [F.col(k) for k in keep]
+    out = list(keep)
     for c in cols:
-        name = c.name if rename else c.raw
-        out.append(_value(F.col(_fields_name(c.pos.segment)), c.pos, numbered).alias(name))
+        out.append(f"{_value(c.pos, numbered)} AS {ident(c.name if rename else c.raw)}")
     if extras:
-        parts = []
+        entries = []
         for s in used:
             ex_fields, ex_keys = extras_exclusions(s, rules, field_map, numbered)
-            entries = hl7.field_entries(s, F.col(_fields_name(s)), ex_fields, ex_keys)
-            parts.append(F.coalesce(entries, F.array().cast(
-                "array<struct<key:string,value:string>>")))
-        merged = F.concat(*parts) if parts else F.array().cast(
-            "array<struct<key:string,value:string>>")
-        out.append(F.map_from_entries(merged).alias("extras"))
-    return split.select(*out)
+            e = hl7.field_entries_sql(s, ident(_fields_name(s)), ex_fields, ex_keys)
+            entries.append(f"coalesce({e}, CAST(array() AS {ENTRY_TYPE}))")
+        merged = f"concat({', '.join(entries)})" if entries else f"CAST(array() AS {ENTRY_TYPE})"
+        out.append(f"map_from_entries({merged}) AS extras")
+    return parts.selectExpr(*out)
 
 
 def segments_long(envelopes: DataFrame,
@@ -102,51 +146,58 @@ def segments_long(envelopes: DataFrame,
     value (as written).  Three chained generators over the split arrays; no
     shuffle.
     """
-    keep = list(keep)
+    k = [ident(x) for x in keep]
     segs = [s.lower() for s in segments]
-    stacked = envelopes.select(*[F.col(k) for k in keep], F.explode(F.array(*[
-        F.struct(F.lit(s).alias("seg"),
-                 hl7.segment_fields(_segment_text(envelopes, s), s).alias("fields"))
-        for s in segs])).alias("_s"))
-    k = [F.col(x) for x in keep]
-    fields = stacked.select(*k, F.col("_s.seg").alias("seg"),
-                            F.posexplode(F.col("_s.fields")).alias("field", "_ftext")) \
-        .where(F.col("field") > 0)
-    reps = fields.select(*k, "seg", "field",
-                         F.posexplode(F.split(F.col("_ftext"), hl7.REP_SEP)).alias("_rep0", "_rtext"))
-    comps = reps.select(*k, "seg", "field", (F.col("_rep0") + 1).alias("rep"),
-                        F.posexplode(F.split(F.col("_rtext"), hl7.COMP_SEP)).alias("_comp0", "value"))
-    return comps.where(F.trim(F.col("value")) != F.lit("")).select(
-        *k, "seg", "field", "rep", (F.col("_comp0") + 1).alias("comp"), "value")
-
-
-def ignore_predicate(rules: layout.IgnoreRules | None = None,
-                     seg: str = "seg", field: str = "field", comp: str = "comp",
-                     rep: str = "rep") -> Column:
-    """X6-X8 on long rows: True for rows the ignore lists drop.
+    structs = ", ".join(
+        f"named_struct('seg', {sql_str(s)}, 'fields', "
+        f"{hl7.segment_fields_sql(_segment_text(envelopes, s), s)})" for s in segs)
+    stacked = envelopes.selectExpr(*k, f"inline(array({structs}))")
+    fields = stacked.selectExpr(*k, "seg", "posexplode(fields) AS (field, _ftext)") \
+        .where("field > 0")
+    reps = fields.selectExpr(*k, "seg", "field",
+                             f"posexplode(split(_ftext, {sql_str(hl7.REP_SEP)})) AS (_rep0, _rtext)")
+    comps = reps.selectExpr(*k, "seg", "field", "_rep0 + 1 AS rep",
+                            f"posexplode(split(_rtext, {sql_str(hl7.COMP_SEP)})) AS (_comp0, value)")
+    return comps.where("trim(value) <> ''").selectExpr(
+        *k, "seg", "field", "rep", "_comp0 + 1 AS comp", "value")
+
+
+def _in_list(expr: str, keys) -> str:
+    keys = sorted(keys)
+    if not keys:
+        return "false"
+    return f"{expr} IN ({', '.join(sql_str(x) for x in keys)})"
+
+
+def ignore_predicate_sql(rules: layout.IgnoreRules | None = None, seg: str = "seg",
+                         field: str = "field", comp: str = "comp", rep: str = "rep") -> str:
+    """X6-X8 on long rows: true for rows the ignore lists drop.
 
     Three hash-set lookups (`IN` over literal keys becomes an InSet), so the
-    check stays in the scan's codegen stage; no join is needed.
+    check stays in the generated code of the scan stage; no join is needed.
     """
     rules = rules or layout.ignore_rules()
-    sf = sorted(f"{s}_{f}" for s, f in rules.seg_fields)
+    sf = [f"{s}_{f}" for s, f in rules.seg_fields]
     comp_keys = set()
     for (s, f), dt in rules.datatypes.items():
         comp_keys.update(f"{s}_{f}_{c}" for d, c in rules.components if d == dt)
     comp_keys.update(f"{s}_{f}_{c}" for s, f, c, r in rules.names if r is None)
-    rep_keys = sorted(f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if r is not None)
-    k2 = F.concat_ws("_", F.col(seg), F.col(field).cast("string"))
-    k3 = F.concat_ws("_", k2, F.col(comp).cast("string"))
-    k4 = F.concat_ws("_", k3, F.col(rep).cast("string"))
-    return k2.isin(sf) | k3.isin(sorted(comp_keys)) | k4.isin(rep_keys)
+    rep_keys = [f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if r is not None]
+    k2 = f"concat_ws('_', {seg}, CAST({field} AS STRING))"
+    k3 = f"concat_ws('_', {k2}, CAST({comp} AS STRING))"
+    k4 = f"concat_ws('_', {k3}, CAST({rep} AS STRING))"
+    return f"({_in_list(k2, sf)} OR {_in_list(k3, comp_keys)} OR {_in_list(k4, rep_keys)})"
+
+
+def ignore_predicate(rules: layout.IgnoreRules | None = None) -> Column:
+    return F.expr(ignore_predicate_sql(rules))
 
 
 def apply_ignore_lists(long_rows: DataFrame, rules: layout.IgnoreRules | None = None) -> DataFrame:
     """Drop ignored positions from long rows."""
-    return long_rows.where(~ignore_predicate(rules))
+    return long_rows.where(f"NOT {ignore_predicate_sql(rules)}")
 
 
 def extras_long(wide: DataFrame, keep: Iterable[str] = ("patientid",)) -> DataFrame:
     """X11 as rows: (keep..., key, value) for every `extras` entry."""
-    return wide.select(*[F.col(k) for k in keep],
-                       F.explode(F.col("extras")).alias("key", "value"))
+    return wide.selectExpr(*[ident(k) for k in keep], "explode(extras) AS (key, value)")
