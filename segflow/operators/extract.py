@@ -199,5 +199,45 @@ def apply_ignore_lists(long_rows: DataFrame, rules: layout.IgnoreRules | None =
 
 
 def extras_long(wide: DataFrame, keep: Iterable[str] = ("patientid",)) -> DataFrame:
-    """X11 as rows: (keep..., key, value) for every `extras` entry."""
+    """X11 as rows from a wide frame's `extras` map: (keep..., key, value)."""
     return wide.selectExpr(*[ident(k) for k in keep], "explode(extras) AS (key, value)")
+
+
+def extras_rows(envelopes: DataFrame,
+                segments: Iterable[str] = layout.HL7_SEGMENTS,
+                keep: Iterable[str] = ("patientid", "id"),
+                rules: layout.IgnoreRules | None = None,
+                field_map=layout.FIELD_MAP) -> DataFrame:
+    """X11 straight from envelopes as rows (keep..., key, value), without
+    lambdas: generators explode segments, fields and candidate component
+    numbers (1 + the number of `^` in the field bounds any repetition's
+    component count); each candidate reads its value like the wide path
+    (split when the field has no repetition, regex otherwise).  Same result
+    as `extras_long(flatten_wide(..., extras=True))`.
+    """
+    rules = rules or layout.ignore_rules()
+    k = [ident(x) for x in keep]
+    segs = [s.lower() for s in segments]
+    ex_fields, ex_keys = [], []
+    for s in segs:
+        f, keys = extras_exclusions(s, rules, field_map)
+        ex_fields += [f"{s}_{i}" for i in f]
+        ex_keys += keys
+    structs = ", ".join(
+        f"named_struct('seg', {sql_str(s)}, 'fields', "
+        f"{hl7.segment_fields_sql(_segment_text(envelopes, s), s)})" for s in segs)
+    stacked = envelopes.selectExpr(*k, f"inline(array({structs}))")
+    field_key = "concat_ws('_', seg, CAST(field AS STRING))"
+    fields = stacked.selectExpr(*k, "seg", "posexplode(fields) AS (field, ftext)") \
+        .where(f"field > 0 AND trim(ftext) <> '' AND NOT {_in_list(field_key, ex_fields)}")
+    cands = fields.selectExpr(
+        *k, "seg", "field", "ftext",
+        "explode(sequence(1, 1 + length(ftext) - length(replace(ftext, '^', '')))) AS comp")
+    keyed = cands.selectExpr(*k, "concat_ws('_', seg, CAST(field AS STRING), CAST(comp AS STRING)) AS key",
+                             "ftext", "comp").where(f"NOT {_in_list('key', ex_keys)}")
+    pattern = (f"concat({sql_str('(?s)^(?:.*~)?(?:[^~^]*' + chr(92) + '^){')}, "
+               f"CAST(comp - 1 AS STRING), {sql_str('}([^~^]*[^~^ ][^~^]*)(?:[~^].*)?$')})")
+    value = (f"CASE WHEN NOT contains(ftext, '~') THEN "
+             f"{hl7.not_blank_sql(f'get(split(ftext, {sql_str(hl7.COMP_SEP)}), comp - 1)')} "
+             f"ELSE nullif(regexp_extract(ftext, {pattern}, 1), '') END")
+    return keyed.selectExpr(*k, "key", f"{value} AS value").where("value IS NOT NULL")

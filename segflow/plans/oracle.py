@@ -328,6 +328,7 @@ def queries() -> dict[str, str]:
         "adt_last_repetition": q_last_repetition(),
         "adt_numbered_repetitions": q_numbered(),
         "adt_extras": q_extras(),
+        "adt_extras_map": q_extras(),
         "adt_observed_wide": q_observed_wide(),
         "adt_truncate_names": q_truncate_names(),
         "adt_document_scan": q_document_scan(),

@@ -59,6 +59,10 @@ def adt_numbered_repetitions(spark, sf_dir):
 
 
 def adt_extras(spark, sf_dir):
+    return extract.extras_rows(_envelopes(spark, sf_dir))
+
+
+def adt_extras_map(spark, sf_dir):
     wide = extract.flatten_wide(_envelopes(spark, sf_dir), keep=("patientid", "id"), extras=True)
     return extract.extras_long(wide, keep=("patientid", "id"))
 
@@ -187,6 +191,7 @@ QUERIES = {
     "adt_last_repetition": adt_last_repetition,
     "adt_numbered_repetitions": adt_numbered_repetitions,
     "adt_extras": adt_extras,
+    "adt_extras_map": adt_extras_map,
     "adt_observed_wide": adt_observed_wide,
     "adt_truncate_names": adt_truncate_names,
     "adt_document_scan": adt_document_scan,

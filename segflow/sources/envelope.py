@@ -83,14 +83,18 @@ def segments_from_blob(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
     """Metadata + raw HL7 blob (segments split by CR/LF) -> envelope columns.
 
     For a segment id that occurs more than once, the last occurrence is kept
-    (the envelope holds one text per segment id).
+    (the envelope holds one text per segment id).  One anchored regex per
+    segment id (no lambda), so the projection stays in generated code and
+    the decoded text is computed once.
     """
-    text = F.decode(F.col(blob_col), "UTF-8") if dict(rows.dtypes)[blob_col] == "binary" \
-        else F.col(blob_col)
-    segs = F.split(text, r"\r\n|\r|\n")
-    cols = [F.col(m) for m in meta if m in rows.columns]
-    def is_seg(seg_id: str):
-        return lambda x: x.startswith(seg_id + "|") | (x == F.lit(seg_id))
-
-    seg_cols = [F.try_element_at(F.filter(segs, is_seg(s)), F.lit(-1)).alias(s) for s in segments]
-    return rows.select(*cols, *seg_cols)
+    text = f"decode(`{blob_col}`, 'UTF-8')" if dict(rows.dtypes)[blob_col] == "binary" \
+        else f"`{blob_col}`"
+    decoded = rows.selectExpr(*[f"`{m}`" for m in meta if m in rows.columns], f"{text} AS __blob")
+    cols = [f"`{m}`" for m in meta if m in rows.columns]
+    seg_cols = []
+    for s in segments:
+        # Greedy prefix: the last line that is this segment (`SEG|...` or bare `SEG`).
+        pattern = r"(?s)^(?:.*[\r\n])?(%s(?:\|[^\r\n]*)?)(?:[\r\n].*)?$" % s
+        lit = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        seg_cols.append(f"nullif(regexp_extract(__blob, {lit}, 1), '') AS `{s}`")
+    return decoded.selectExpr(*cols, *seg_cols)
