@@ -60,9 +60,11 @@ def _nth(field_expr: str, comp: int, rep: int) -> str:
     return f"CASE WHEN trim({x}) <> '' THEN {x} END"
 
 
-def split_cte(source: str = "env", keep=("patientid", "dob"), name: str = "split") -> str:
+def split_cte(source: str = "env", keep=("patientid", "dob"), name: str = "split",
+              present=SEGMENTS) -> str:
     ks = ", ".join(_q(k) for k in keep)
-    fs = ", ".join(f"{_fields(s)} AS f_{s}" for s in SEGMENTS)
+    fs = ", ".join((f"{_fields(s)}" if s in present else "CAST(NULL AS VARCHAR[])") + f" AS f_{s}"
+                   for s in SEGMENTS)
     return f"{name} AS (SELECT {ks}, {fs} FROM {source})"
 
 
@@ -314,6 +316,15 @@ INFERRED_COLUMNS = ("al1", "createdat", "dg1", "dob", "evn", "id", "in1", "msh",
                     "pid", "pv1", "tenantid", "updatedat", "visitnumber")
 
 
+def q_declared_schema() -> str:
+    """Dedupe happens on the 11 declared columns only (the reader drops the rest)."""
+    states = ", ".join(f"'{s}'" for s in layout.STATES)
+    cols = "patientid, tenantid, dob, id, updatedat, createdat, visitnumber, msh, evn, pid, pv1"
+    return (f"WITH {derived_cte(dedupe=False)},\nenv11 AS (SELECT DISTINCT {cols} FROM env),\n"
+            f"{split_cte(source='env11', present=DECLARED_SEGMENTS)},\nwide AS ({wide_select()})\n"
+            f"SELECT * FROM wide WHERE pt_address_state_prov IN ({states})")
+
+
 def q_inferred() -> str:
     return f"WITH {derived_cte()}\nSELECT DISTINCT {', '.join(INFERRED_COLUMNS)} FROM env"
 
@@ -340,6 +351,7 @@ def queries() -> dict[str, str]:
         "adt_stream_flatten": q_state_filter(),
         "adt_json_scan": q_dedupe(),
         "adt_json_inferred": q_inferred(),
+        "adt_declared_schema": q_declared_schema(),
         "adt_message_table": q_dedupe(),
         "adt_catchup_blob": q_dedupe(),
         "adt_archive_prefix": q_archive(),

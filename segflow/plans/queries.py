@@ -136,6 +136,14 @@ def adt_json_scan(spark, sf_dir):
     return shape.lower_case_names(envelope.read_json_envelopes(spark, path, multiline=False))
 
 
+def adt_declared_schema(spark, sf_dir):
+    """S1 with the 11-field declared schema: only EVN, PID and PV1 reach the
+    flattener, so the other segments' columns stay NULL (then the job's filter)."""
+    path = _json_dir(spark, sf_dir)
+    env = envelope.read_json_envelopes(spark, path, schema=envelope.DECLARED, multiline=False)
+    return etl.patient_rows(env, dedupe=False)
+
+
 def adt_json_inferred(spark, sf_dir):
     path = _json_dir(spark, sf_dir)
     return shape.lower_case_names(
@@ -203,6 +211,7 @@ QUERIES = {
     "adt_stream_flatten": adt_stream_flatten,
     "adt_json_scan": adt_json_scan,
     "adt_json_inferred": adt_json_inferred,
+    "adt_declared_schema": adt_declared_schema,
     "adt_message_table": adt_message_table,
     "adt_catchup_blob": adt_catchup_blob,
     "adt_archive_prefix": adt_archive_prefix,

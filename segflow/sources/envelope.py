@@ -78,23 +78,33 @@ def read_jdbc_catchup(spark: SparkSession, url: str, table: str, properties: dic
                            properties=properties)
 
 
+def _last_segment_sql(t: str, seg: str) -> str:
+    """Last `seg` segment in `t`, a CR-normalised text with a CR before the
+    first and after the last segment; NULL when absent.  Plain string
+    functions (linear scans, generated code): `substring_index(..., -1)`
+    finds the last `CR SEG|` and the last bare `CR SEG CR`; the later wins."""
+    pipe, bare = f"\\r{seg}|", f"\\r{seg}\\r"
+    after = f"substring_index({t}, '{pipe}', -1)"
+    a_pos = f"CASE WHEN contains({t}, '{pipe}') THEN octet_length({t}) - octet_length({after}) ELSE 0 END"
+    b_pos = (f"CASE WHEN contains({t}, '{bare}') THEN "
+             f"octet_length({t}) - octet_length(substring_index({t}, '{bare}', -1)) ELSE 0 END")
+    return (f"CASE WHEN {a_pos} = 0 AND {b_pos} = 0 THEN NULL "
+            f"WHEN {a_pos} > {b_pos} THEN concat('{seg}|', substring_index({after}, '\\r', 1)) "
+            f"ELSE '{seg}' END")
+
+
 def segments_from_blob(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
                        segments=("MSH",) + SUPERSET_SEGMENTS) -> DataFrame:
-    """Metadata + raw HL7 blob (segments split by CR/LF) -> envelope columns.
+    """Metadata + raw HL7 blob (segments split by CR, LF or CRLF) -> envelope columns.
 
     For a segment id that occurs more than once, the last occurrence is kept
-    (the envelope holds one text per segment id).  One anchored regex per
-    segment id (no lambda), so the projection stays in generated code and
-    the decoded text is computed once.
+    (the envelope holds one text per segment id).  Line breaks are
+    normalised once; each segment id is then found with string functions,
+    no lambda and no regex, so the projection stays in generated code.
     """
     text = f"decode(`{blob_col}`, 'UTF-8')" if dict(rows.dtypes)[blob_col] == "binary" \
         else f"`{blob_col}`"
-    decoded = rows.selectExpr(*[f"`{m}`" for m in meta if m in rows.columns], f"{text} AS __blob")
     cols = [f"`{m}`" for m in meta if m in rows.columns]
-    seg_cols = []
-    for s in segments:
-        # Greedy prefix: the last line that is this segment (`SEG|...` or bare `SEG`).
-        pattern = r"(?s)^(?:.*[\r\n])?(%s(?:\|[^\r\n]*)?)(?:[\r\n].*)?$" % s
-        lit = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        seg_cols.append(f"nullif(regexp_extract(__blob, {lit}, 1), '') AS `{s}`")
-    return decoded.selectExpr(*cols, *seg_cols)
+    norm = f"concat('\\r', replace(replace({text}, '\\r\\n', '\\r'), '\\n', '\\r'), '\\r') AS __blob"
+    decoded = rows.selectExpr(*cols, norm)
+    return decoded.selectExpr(*cols, *[f"{_last_segment_sql('__blob', s)} AS `{s}`" for s in segments])
