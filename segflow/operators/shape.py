@@ -51,12 +51,23 @@ def observed_columns(df: DataFrame, fixed: Iterable[str], extras_col: str = "ext
 
 
 def observed_wide(df: DataFrame, keep: Iterable[str] = ("patientid", "dob"),
-                  extras_col: str = "extras", sort: bool = True) -> DataFrame:
+                  extras_col: str = "extras", sort: bool = True,
+                  materialize: bool = False) -> DataFrame:
     """Union-of-keys widening.  Columns are what the data contained: the
     mapped columns with at least one value and one column per `extras` key,
     missing values NULL, names sorted.
+
+    Finding the columns needs a pass over the data (like schema inference).
+    With `materialize=True` the input is first checkpointed into the shared
+    checkpoint folder, so the discovery pass and the final read both scan
+    that copy instead of flattening twice.
     """
     keep = list(keep)
+    if materialize:
+        from segflow.session import checkpoint_dir
+
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     fixed = [c for c in df.columns if c not in keep and c != extras_col]
     names = observed_columns(df, fixed, extras_col)
     if sort:

@@ -69,7 +69,7 @@ def adt_extras_map(spark, sf_dir):
 
 def adt_observed_wide(spark, sf_dir):
     wide = extract.flatten_wide(_envelopes(spark, sf_dir), extras=True)
-    return shape.observed_wide(wide)
+    return shape.observed_wide(wide, materialize=True)
 
 
 def adt_truncate_names(spark, sf_dir):

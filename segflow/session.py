@@ -27,6 +27,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20,
+                     min_partitions: int = 200) -> dict[str, str]:
+    """Suggested session settings for a run over `input_bytes` of envelopes.
+
+    Initial shuffle partitions are sized so each dedupe partition is about
+    `partition_bytes` (AQE coalesces small ones and splits skewed ones at run
+    time); scan splits are the same size.
+    """
+    parts = max(min_partitions, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (`spark.checkpoint.dir`).
 

@@ -66,3 +66,12 @@ def test_truncated_name_and_table_name():
     assert L.truncated_name("é" + "a" * 70) == "é" + "a" * 61
     assert L.table_name("road-runner") == "v4_road_runner"
     assert L.table_name("acme", "v5") == "v5_acme"
+
+
+def test_cluster_settings_scale():
+    from segflow.session import cluster_settings
+
+    small = cluster_settings(10 << 20)
+    big = cluster_settings(100 << 40)                   # 100 TB
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
