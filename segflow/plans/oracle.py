@@ -349,6 +349,7 @@ def queries() -> dict[str, str]:
         "adt_feed_count": q_feed_count_full(),
         "adt_schema_evolution": q_schema_evolution(),
         "adt_stream_flatten": q_state_filter(),
+        "adt_stream_latest": q_latest_patient(),
         "adt_json_scan": q_dedupe(),
         "adt_json_inferred": q_inferred(),
         "adt_declared_schema": q_declared_schema(),

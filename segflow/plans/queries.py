@@ -190,6 +190,19 @@ def adt_stream_flatten(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def adt_stream_latest(spark, sf_dir):
+    """W1 + K6: a streaming max_by keeps the newest envelope per patient over
+    arriving files (one file per trigger); the resolved table is flattened."""
+    from segflow.streaming.stream import read_latest, start_latest_stream
+
+    src = _json_dir(spark, sf_dir)
+    out = session.work_path(spark, "latest-out")
+    ckpt = session.work_path(spark, "latest-ckpt")
+    start_latest_stream(spark, src, out, ckpt, available_now=True,
+                        max_files_per_trigger=1).awaitTermination()
+    return extract.flatten_wide(read_latest(spark, out), keep=("patientid", "id", "updatedat", "dob"))
+
+
 QUERIES = {
     "adt_flatten": adt_flatten,
     "adt_state_filter": adt_state_filter,
@@ -209,6 +222,7 @@ QUERIES = {
     "adt_feed_count": adt_feed_count,
     "adt_schema_evolution": adt_schema_evolution,
     "adt_stream_flatten": adt_stream_flatten,
+    "adt_stream_latest": adt_stream_latest,
     "adt_json_scan": adt_json_scan,
     "adt_json_inferred": adt_json_inferred,
     "adt_declared_schema": adt_declared_schema,
