@@ -98,7 +98,10 @@ def adt_dead_letter(spark, sf_dir):
 
 
 def adt_latest_patient(spark, sf_dir):
-    latest = patients.latest_per_patient(_envelopes(spark, sf_dir))
+    # No dedupe first: a max is unchanged by exact duplicates, so the
+    # per-patient aggregate is the only shuffle.
+    env = shape.lower_case_names(derived.derived_envelopes(spark, sf_dir))
+    latest = patients.latest_per_patient(env)
     return extract.flatten_wide(latest, keep=("patientid", "id", "updatedat", "dob"))
 
 

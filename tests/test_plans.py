@@ -46,6 +46,7 @@ def test_latest_patient_is_partial_aggregate(spark):
     plan = _plan(queries.adt_latest_patient(spark, SF001))
     assert "partial_max_by" in plan
     assert "Window" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1      # per patient only
 
 
 def test_new_referrals_pre_aggregates_both_sides(spark):
