@@ -113,12 +113,15 @@ def derived_envelopes(spark: SparkSession, sf_dir: str, duplicates: bool = True)
     if duplicates:
         joined = joined.unionByName(joined.where(DUPLICATE_RULE))
     exprs = envelope_exprs(SPARK_DATES)
-    # The envelope is emitted through a one-row generator so it behaves like a
-    # scanned source: later filters on envelope columns stop above it instead
-    # of being inlined (with the whole message-building expression) into the
-    # join condition, where generated code would rebuild the text per use.
-    body = ", ".join(f"{e} AS `{k}`" for k, e in exprs.items())
-    return joined.selectExpr(f"inline(array(struct({body})))")
+    built = joined.selectExpr(*[f"{e} AS `{k}`" for k, e in exprs.items()])
+    # The built envelope then passes through a one-row generator so it behaves
+    # like a scanned source: later filters on envelope columns stop above it
+    # instead of being inlined (with the whole message-building expression)
+    # into the join condition, where generated code would rebuild the text
+    # per use.  The generator only re-references the built columns, so the
+    # projection below keeps its common-subexpression elimination.
+    refs = ", ".join(f"`{k}`" for k in exprs)
+    return built.selectExpr(f"inline(array(struct({refs})))")
 
 
 def derived_documents(envelopes: DataFrame) -> DataFrame:
