@@ -20,7 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.driver.memory", "8g")
+             .config("spark.driver.memory", "16g")
              .config("spark.sql.debug.maxToStringFields", "1000")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
