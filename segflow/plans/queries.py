@@ -106,10 +106,13 @@ def adt_latest_patient(spark, sf_dir):
 
 
 def adt_new_referrals(spark, sf_dir):
-    env = _envelopes(spark, sf_dir)
+    # The known side needs only distinct patient ids, so it skips the
+    # whole-row dedupe: column pruning leaves a shuffle of ids only.  The
+    # batch side is deduplicated because it counts messages.
+    raw = shape.lower_case_names(derived.derived_envelopes(spark, sf_dir))
     is_batch = patients.parse_updated("updatedat") >= F.to_timestamp(F.lit(REFERRAL_CUTOFF))
-    batch = env.where(is_batch)
-    known = env.where(~is_batch | is_batch.isNull())
+    batch = raw.dropDuplicates().where(is_batch)
+    known = raw.where(~is_batch | is_batch.isNull())
     return patients.new_patients(batch, known)
 
 
