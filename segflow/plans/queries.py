@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segflow import layout, session
+from segflow import session
 from segflow.operators import deadletter, extract, filters, patients, shape
 from segflow.plans import etl
 from segflow.plans.oracle import (DECLARED_SEGMENTS, EVOLUTION_CUTOFF, FEEDS, LAST_REP_COLUMNS,
