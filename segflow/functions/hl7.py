@@ -101,8 +101,13 @@ def field_entries_sql(seg_id: str, fields: str, excluded_fields: list[int],
     with_reps = (f"reps -> transform(sequence(1, array_max(transform(reps, r -> size(r)))), "
                  f"{per_comp})")
     reps = (f"transform(split(f, {sql_str(REP_SEP)}), r -> split(r, {sql_str(COMP_SEP)}))")
-    per_field = (f"(f, i) -> CASE WHEN i > 0 AND trim(f) <> '' AND NOT array_contains({ex_f}, i) "
-                 f"THEN get(transform(array({reps}), {with_reps}), 0) ELSE {empty} END")
+    # Fast path for a field without repetitions: its components in one pass.
+    single = (f"transform(split(f, {sql_str(COMP_SEP)}), (v, j) -> named_struct('key', "
+              f"concat({sql_str(seg + '_')}, CAST(i AS STRING), '_', CAST(j + 1 AS STRING)), "
+              f"'value', CASE WHEN trim(v) <> '' THEN v END))")
+    per_field = (f"(f, i) -> CASE WHEN i = 0 OR trim(f) = '' OR array_contains({ex_f}, i) "
+                 f"THEN {empty} WHEN NOT contains(f, '~') THEN {single} "
+                 f"ELSE get(transform(array({reps}), {with_reps}), 0) END")
     return (f"filter(flatten(transform({fields}, {per_field})), "
             f"e -> e.value IS NOT NULL AND NOT array_contains({ex_k}, e.key))")
 
