@@ -112,3 +112,42 @@ def test_message_table_both_encodings(spark):
 
 def test_table_names():
     assert layout.table_name("adt-feed1") == "v4_adt_feed1"
+
+
+def test_run_feeds_jdbc_control_flow(spark, monkeypatch):
+    """K1-K3 + F2 + P5 on the relational path, with the JDBC calls stubbed
+    (no database can run here): one checkpointed frame, one append per feed,
+    names truncated, nothing written for an empty result."""
+    calls = []
+
+    def fake_append(df, url, table, props):
+        calls.append((table, df.count(), max(len(c.encode()) for c in df.columns)))
+        return calls[-1][1]
+
+    monkeypatch.setattr(tables, "append_jdbc", fake_append)
+    env = derived.derived_envelopes(spark, SF001)
+    out = etl.run_feeds_jdbc(env, ["acme", "road-runner"], "jdbc:none", {})
+    expected = etl.patient_rows(env).count()
+    assert out == {"v4_acme": expected, "v4_road_runner": expected}
+    assert [c[0] for c in calls] == ["v4_acme", "v4_road_runner"]
+    assert all(c[2] <= 63 for c in calls)
+
+    calls.clear()
+    assert etl.run_feeds_jdbc(env, ["acme"], "jdbc:none", {}, states=("ZZ",)) == {}
+    assert calls == []
+
+
+def test_run_feeds_jdbc_evolving_ddl(spark, monkeypatch):
+    ddl_seen = []
+    monkeypatch.setattr(tables, "append_jdbc", lambda df, url, table, props: 0)
+
+    class FakeReader:
+        def jdbc(self, *a, **k):
+            raise RuntimeError("no such table")
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: FakeReader()))
+    env_df = spark.createDataFrame([("1", "1990-01-01", "PID|1||||A^B||||||1 RD^^C^CA^1")],
+                                   "patientId string, dob string, PID string")
+    etl.run_feeds_jdbc(env_df, ["acme"], "jdbc:none", {}, evolve_ddl=ddl_seen.extend)
+    assert ddl_seen[0] == "CREATE TABLE IF NOT EXISTS v4_acme ();"
+    assert "ALTER TABLE v4_acme ADD COLUMN IF NOT EXISTS pt_address_state_prov text;" in ddl_seen
