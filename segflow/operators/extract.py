@@ -53,7 +53,10 @@ def _field_parts(cols: list[layout.Column], numbered: bool) -> list[str]:
             key = (p.segment, p.field, p.rep or 1)
             if key not in seen:
                 seen.add(key)
-                rep = f"get(split({text}, {sql_str(hl7.REP_SEP)}), {(p.rep or 1) - 1})"
+                k = p.rep or 1
+                # The first repetition needs no array: the text before any `~`.
+                rep = (f"substring_index({text}, '~', 1)" if k == 1
+                       else f"get(split({text}, {sql_str(hl7.REP_SEP)}), {k - 1})")
                 out.append(f"split({rep}, {sql_str(hl7.COMP_SEP)}) AS "
                            f"{ident(_parts_name(p.segment, p.field, p.rep or 1))}")
             continue
