@@ -110,7 +110,7 @@ def adt_new_referrals(spark, sf_dir):
     # whole-row dedupe: column pruning leaves a shuffle of ids only.  The
     # batch side is deduplicated because it counts messages.
     raw = shape.lower_case_names(derived.derived_envelopes(spark, sf_dir))
-    is_batch = patients.parse_updated("updatedat") >= F.to_timestamp(F.lit(REFERRAL_CUTOFF))
+    is_batch = patients.parse_updated("updatedat") >= patients.wall_clock(REFERRAL_CUTOFF)
     batch = raw.dropDuplicates().where(is_batch)
     known = raw.where(~is_batch | is_batch.isNull())
     return patients.new_patients(batch, known)
@@ -124,7 +124,7 @@ def adt_feed_count(spark, sf_dir):
 
 def adt_schema_evolution(spark, sf_dir):
     env = _envelopes(spark, sf_dir)
-    early_flag = patients.parse_updated("updatedat") < F.to_timestamp(F.lit(EVOLUTION_CUTOFF))
+    early_flag = patients.parse_updated("updatedat") < patients.wall_clock(EVOLUTION_CUTOFF)
     early = extract.flatten_wide(env.where(early_flag), segments=DECLARED_SEGMENTS)
     late = extract.flatten_wide(env.where(~early_flag | early_flag.isNull()))
     return tables.union_evolving([early, late])

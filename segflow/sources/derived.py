@@ -18,15 +18,21 @@ from pyspark.sql import functions as F
 
 # Date snippets per engine: 14/12/8-digit HL7 times, both `updatedAt` formats,
 # `createdAt` and the date of birth.
+# Spark snippets are built from the NTZ-to-string cast (no `date_format`),
+# which keeps them independent of the session time zone: formatting casts a
+# TIMESTAMP_NTZ to the session zone and would move wall-clock times that fall
+# in a daylight-saving gap.
+_TS = "substr(CAST(ts AS STRING), 1, 19)"
+_DOB = "CAST(date_add(DATE'1940-01-01', CAST(c_custkey % 20000 AS INT)) AS STRING)"
 SPARK_DATES = {
-    "ts14": "date_format(ts, 'yyyyMMddHHmmss')",
-    "ts12": "date_format(ts, 'yyyyMMddHHmm')",
-    "d8": "date_format(o_orderdate, 'yyyyMMdd')",
-    "upd_long": "date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
-    "upd_short": "date_format(ts, 'yyyy-MM-dd HH:mm')",
-    "created": "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')",
-    "dob": "date_format(date_add(DATE'1940-01-01', CAST(c_custkey % 20000 AS INT)), 'yyyy-MM-dd')",
-    "dob8": "date_format(date_add(DATE'1940-01-01', CAST(c_custkey % 20000 AS INT)), 'yyyyMMdd')",
+    "ts14": f"translate({_TS}, '- :', '')",
+    "ts12": f"substr(translate({_TS}, '- :', ''), 1, 12)",
+    "d8": "translate(substr(CAST(o_orderdate AS STRING), 1, 10), '-', '')",
+    "upd_long": _TS,
+    "upd_short": "substr(CAST(ts AS STRING), 1, 16)",
+    "created": "substr(CAST(o_orderdate AS STRING), 1, 19)",
+    "dob": _DOB,
+    "dob8": f"translate({_DOB}, '-', '')",
 }
 
 DUCKDB_DATES = {

@@ -42,9 +42,15 @@ def read_json_envelopes(spark: SparkSession, path, schema: StructType | None = E
 
 
 def date_prefix(ts: Column | str, padded: bool = False) -> Column:
-    """Object-store prefix of a timestamp, `yyyy/M/d` (or `yyyy/MM/dd`)."""
+    """Object-store prefix of a timestamp, `yyyy/M/d` (or `yyyy/MM/dd`).
+    Built from the date fields, so a TIMESTAMP_NTZ is not moved through the
+    session time zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(ts, "yyyy/MM/dd" if padded else "yyyy/M/d")
+    parts = [F.year(ts), F.month(ts), F.dayofmonth(ts)]
+    if padded:
+        parts = [F.lpad(parts[0].cast("string"), 4, "0")] + \
+                [F.lpad(x.cast("string"), 2, "0") for x in parts[1:]]
+    return F.concat_ws("/", *[x.cast("string") for x in parts])
 
 
 def scan_documents(docs: DataFrame, prefix: str = "pid_", key_col: str = "key",
