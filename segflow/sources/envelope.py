@@ -50,7 +50,7 @@ def date_prefix(ts: Column | str, padded: bool = False) -> Column:
     if padded:
         parts = [F.lpad(parts[0].cast("string"), 4, "0")] + \
                 [F.lpad(x.cast("string"), 2, "0") for x in parts[1:]]
-    return F.concat_ws("/", *[x.cast("string") for x in parts])
+    return F.when(ts.isNotNull(), F.concat_ws("/", *[x.cast("string") for x in parts]))
 
 
 def scan_documents(docs: DataFrame, prefix: str = "pid_", key_col: str = "key",
