@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from segflow.llm.bpe_automaton import encode_decode
 from segflow.llm.common import table
 from segflow.llm.exact_dedup import exact_dedup
 from segflow.llm.token_counts import token_counts
@@ -27,6 +28,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(WORD_MODEL))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
@@ -34,5 +39,6 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op5_token_counts": op5_token_counts,
+    "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_exact_dedup": op10_exact_dedup,
 }
