@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from segflow.llm.bpe_automaton import encode_decode
 from segflow.llm.common import table
 from segflow.llm.exact_dedup import exact_dedup
+from segflow.llm.near_dedup import near_dedup
 from segflow.llm.token_counts import token_counts
 from segflow.llm.url_filter import filter_urls, rule_table
 
@@ -28,6 +29,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(WORD_MODEL))
 
@@ -39,6 +44,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op5_token_counts": op5_token_counts,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_exact_dedup": op10_exact_dedup,
 }
