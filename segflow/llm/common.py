@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segflow.session import checkpoint_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so tasks can
+    import it wherever the driver was started."""
+    import segflow
+
+    sc = spark.sparkContext
+    if getattr(sc, "_segflow_sent", False):
+        return
+    top = os.path.dirname(os.path.abspath(segflow.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="segflow-code-"), "segflow_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("segflow", os.path.relpath(full, top)))
+    sc.addPyFile(path)
+    sc._segflow_sent = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; read by Spark only, so any store Spark reaches works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,6 +49,7 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     Only the two named columns are read, so extra columns with any names
     (also ones the operators use internally) cannot clash.
     """
+    ship(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

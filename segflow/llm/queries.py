@@ -8,6 +8,7 @@ from segflow.llm.bpe_automaton import encode_decode
 from segflow.llm.common import table
 from segflow.llm.exact_dedup import exact_dedup
 from segflow.llm.near_dedup import near_dedup
+from segflow.llm.substring_dedup import substring_dedup
 from segflow.llm.token_counts import token_counts
 from segflow.llm.url_filter import filter_urls, rule_table
 
@@ -25,6 +26,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
@@ -43,6 +48,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_filters": op2_url_filters,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
