@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from segflow.llm.bpe_automaton import encode_decode
 from segflow.llm.common import table
 from segflow.llm.exact_dedup import exact_dedup
 from segflow.llm.near_dedup import near_dedup
+from segflow.llm.quality import fit_quality, score_quality
 from segflow.llm.substring_dedup import substring_dedup
 from segflow.llm.token_counts import token_counts
+from segflow.llm.toxicity import fit_toxicity, score_toxicity
 from segflow.llm.url_filter import filter_urls, rule_table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -30,6 +33,33 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def fold(folds: int) -> Column:
+    """Fold of a document: CRC-32 of its id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+def judged(scores: DataFrame, held_out: Column, threshold: float = 0.7) -> DataFrame:
+    return scores.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def training_labels(spark: SparkSession, sf_dir: str, column: str, folds: int, left_out: int) -> DataFrame:
+    rows = table(spark, sf_dir, "labels")
+    return rows.where(fold(folds) != left_out).select("doc_id", F.col(column).alias("label"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, training_labels(spark, sf_dir, "quality", 4, 2))
+    return judged(score_quality(docs, model), fold(4) == 2)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, training_labels(spark, sf_dir, "toxic", 3, 1))
+    return judged(score_toxicity(docs, model), fold(3) == 1)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
@@ -49,8 +79,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_token_counts": op5_token_counts,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_exact_dedup": op10_exact_dedup,
 }
