@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from segflow.llm.bpe_automaton import encode_decode
 from segflow.llm.common import table
+from segflow.llm.decontaminate import find_contaminated
 from segflow.llm.exact_dedup import exact_dedup
 from segflow.llm.near_dedup import near_dedup
 from segflow.llm.quality import fit_quality, score_quality
+from segflow.llm.secret_scan import secret_scan
 from segflow.llm.substring_dedup import substring_dedup
 from segflow.llm.token_counts import token_counts
 from segflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -25,6 +27,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), rule_table(spark))
 
@@ -54,6 +60,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(score_quality(docs, model), fold(4) == 2)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, training_labels(spark, sf_dir, "toxic", 3, 1))
@@ -77,11 +87,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
     "op2_url_filters": op2_url_filters,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_token_counts": op5_token_counts,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_exact_dedup": op10_exact_dedup,
