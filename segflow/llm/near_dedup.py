@@ -216,13 +216,19 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = tokens.join(often, "t")
     order = Window.partitionBy("id").orderBy("f", "t")
     kept = common.withColumn("r", F.row_number().over(order)).withColumn("m", F.count("t").over(Window.partitionBy("id")))
-    prefix = kept.where(F.expr(f"r + n - m <= n - ceil({percent} * n / 100) + 1")).select("t", "id", "label", "n")
+    kept = kept.withColumn("p", F.expr("r + n - m"))            # place among all shingles of the set
+    prefix = kept.where(F.expr(f"p <= n - ceil({percent} * n / 100) + 1")).select("t", "id", "label", "n", "p")
     prefix = cut(prefix)
     per = prefix.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c"))
     main = (per.groupBy("t").agg(F.max(F.struct("c", "label")).alias("x"), F.count(F.lit(1)).alias("labels"))
             .where("labels > 1").select("t", F.col("x.label").alias("main")).repartition("main", "t"))
     mixed = cut(prefix.join(main, "t"))
-    a = mixed.where("label <> main").select("t", F.col("id").alias("x"), F.col("label").alias("label_x"), F.col("n").alias("n_a"))
-    b = mixed.select("t", F.col("id").alias("y"), F.col("label").alias("label_y"), F.col("n").alias("n_b"))
-    found = a.join(b, "t").where("label_x <> label_y").where(_fits(percent))
+    a = mixed.where("label <> main").select("t", F.col("id").alias("x"), F.col("label").alias("label_x"),
+                                          F.col("n").alias("n_a"), F.col("p").alias("p_a"))
+    b = mixed.select("t", F.col("id").alias("y"), F.col("label").alias("label_y"), F.col("n").alias("n_b"),
+                     F.col("p").alias("p_b"))
+    # At the first shingle that both hold, enough places must be left in each.
+    need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
+    found = (a.join(b, "t").where("label_x <> label_y").where(_fits(percent))
+             .where(F.expr(f"n_a - p_a + 1 >= {need} AND n_b - p_b + 1 >= {need}")))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F     # odd bases
 _MASK = (1 << 64) - 1
