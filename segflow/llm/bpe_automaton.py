@@ -240,11 +240,11 @@ def word_bpe(path: str) -> WordBpe:
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                  with_ids: bool = False) -> DataFrame:
+                  with_ids: bool = False, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    With `with_ids` also ids (array of int) and decoded (string).  Defined
-    cases: null text counts as empty (no ids, empty decoded text); repeated rows
+    With `with_ids` also ids (array of int), with `with_text` decoded (string).
+    Defined cases: null text counts as empty (no ids, empty decoded text); repeated rows
     are encoded each; a null id is passed on; whole texts of any length are
     encoded, never cut; an empty table gives no rows; extra columns are not
     read.  No shuffle; the word cache and the transition table are bounded.
@@ -254,7 +254,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
         for b in batches:
-            n, ids_sha, out_sha, all_ids, all_out = [], [], [], [], []
+            n, ids_sha, out_sha, all_ids, all_out = [], [], [], [np.zeros(0, "<u4")], []
             for value in b.column("text"):
                 raw = bpe.encode_bytes(value.as_py())
                 ids = np.frombuffer(raw, "<u4").tolist()
@@ -263,16 +263,21 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 ids_sha.append(hashlib.sha256(raw).hexdigest())
                 out_sha.append(hashlib.sha256(out.encode("utf-8")).hexdigest())
                 if with_ids:
-                    all_ids.append(ids)
+                    all_ids.append(np.frombuffer(raw, "<u4"))
+                if with_text:
                     all_out.append(out)
             cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),
                     pa.array(out_sha, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                cols += [pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_out, pa.string())]
-                names += ["ids", "decoded"]
+                offs = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(all_ids).astype(np.int32))))
+                names.append("ids")
+            if with_text:
+                cols.append(pa.array(all_out, pa.string()))
+                names.append("decoded")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return texts(docs, id_col, text_col).mapInArrow(
-        run, schema + (", ids array<int>, decoded string" if with_ids else ""))
+        run, schema + ", ids array<int>" * with_ids + ", decoded string" * with_text)

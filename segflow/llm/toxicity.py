@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import bounded_sample, cut, texts
+from segflow.llm.common import bounded_sample, cut, ship, texts
 
 SAMPLE_ROWS = 20_000        # labelled training rows used at most
 LEXICON_TERMS = 5_000       # terms kept at most
@@ -332,3 +332,21 @@ def score_toxicity(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", tex
                                              names=["doc_id", "score"])
 
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def drop_toxic(docs: DataFrame, model: Toxicity, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text scores below `threshold`.
+
+    Same cases as score_toxicity; null and empty texts stay unless the base
+    score reaches the threshold.  No shuffle: rows are judged where they are read.
+    """
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = model.lexicon()
+        for b in batches:
+            values = [t or "" for t in b.column(place).to_pylist()]
+            yield b.filter(pa.array(model.scores(lexicon, values) < threshold))
+
+    ship(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)
