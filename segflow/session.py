@@ -19,7 +19,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.driver.memory", "16g")
+             .config("spark.driver.memory", "8g")
              .config("spark.sql.debug.maxToStringFields", "1000")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -27,33 +27,53 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20,
-                     min_partitions: int = 200) -> dict[str, str]:
+                     min_partitions: int = 200, max_partitions: int = 20_000,
+                     max_splits: int = 100_000) -> dict[str, str]:
     """Suggested session settings for a run over `input_bytes` of envelopes.
 
-    Initial shuffle partitions are sized so each dedupe partition is about
-    `partition_bytes` (AQE coalesces small ones and splits skewed ones at run
-    time); scan splits are the same size.
+    A shuffle has splits x partitions blocks, and the driver keeps a map status
+    of about one bit per block, so both counts are bounded and partitions grow
+    instead: 100 TB gives 100,000 splits of 1 GB and 20,000 partitions of 5 GB
+    (2e9 blocks, about 250 MB of map status).  Sorts and aggregates spill, so a
+    large partition costs disk, not memory; AQE merges small partitions and
+    splits skewed ones at run time.
     """
-    parts = max(min_partitions, -(-input_bytes // partition_bytes))
+    parts = min(max_partitions, max(min_partitions, -(-input_bytes // partition_bytes)))
+    split = max(128 << 20, -(-input_bytes // max_splits))
     return {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
     }
 
 
+def shuffle_blocks(input_bytes: int, settings: dict[str, str]) -> int:
+    """Blocks of one full shuffle under `settings`: scan splits x partitions."""
+    splits = -(-input_bytes // int(settings["spark.sql.files.maxPartitionBytes"]))
+    return splits * int(settings["spark.sql.shuffle.partitions"])
+
+
+def require_local(master: str) -> None:
+    """Raise unless driver and executors are one process on one machine."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"master {master}: set spark.checkpoint.dir to a folder that the driver "
+                           "and all executors share")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (`spark.checkpoint.dir`).
 
-    Only when the session has none (local tests) is a private folder created
-    and registered.
+    Only on a local master without one (tests) is a private folder created and
+    registered.  On a cluster every executor would write to its own disk there,
+    so a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        require_local(sc.master)
         current = tempfile.mkdtemp(prefix="segflow-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
