@@ -90,10 +90,9 @@ def field_entries_sql(seg_id: str, fields: str, excluded_fields: list[int],
     field's repetitions are split once and bound to a lambda variable.
     """
     seg = seg_id.lower()
-    ex_f = "array(" + ", ".join(str(i) for i in sorted(excluded_fields)) + ")" \
-        if excluded_fields else "CAST(array() AS array<int>)"
-    ex_k = "array(" + ", ".join(sql_str(k) for k in sorted(excluded_keys)) + ")" \
-        if excluded_keys else "CAST(array() AS array<string>)"
+    # Literal IN lists become hash-set look-ups.
+    ex_f = f"i IN ({', '.join(str(i) for i in sorted(excluded_fields))})" if excluded_fields else "false"
+    ex_k = f"e.key IN ({', '.join(sql_str(k) for k in sorted(excluded_keys))})" if excluded_keys else "false"
     empty = "CAST(array() AS array<struct<key:string,value:string>>)"
     per_comp = (f"c -> named_struct('key', concat({sql_str(seg + '_')}, CAST(i AS STRING), '_', "
                 f"CAST(c AS STRING)), 'value', aggregate(reps, CAST(NULL AS STRING), "
@@ -105,11 +104,11 @@ def field_entries_sql(seg_id: str, fields: str, excluded_fields: list[int],
     single = (f"transform(split(f, {sql_str(COMP_SEP)}), (v, j) -> named_struct('key', "
               f"concat({sql_str(seg + '_')}, CAST(i AS STRING), '_', CAST(j + 1 AS STRING)), "
               f"'value', CASE WHEN trim(v) <> '' THEN v END))")
-    per_field = (f"(f, i) -> CASE WHEN i = 0 OR trim(f) = '' OR array_contains({ex_f}, i) "
+    per_field = (f"(f, i) -> CASE WHEN i = 0 OR trim(f) = '' OR {ex_f} "
                  f"THEN {empty} WHEN NOT contains(f, '~') THEN {single} "
                  f"ELSE get(transform(array({reps}), {with_reps}), 0) END")
     return (f"filter(flatten(transform({fields}, {per_field})), "
-            f"e -> e.value IS NOT NULL AND NOT array_contains({ex_k}, e.key))")
+            f"e -> e.value IS NOT NULL AND NOT {ex_k})")
 
 
 # Column forms --------------------------------------------------------------

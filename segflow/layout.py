@@ -9,11 +9,12 @@ module is derived from them by rule.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import lru_cache
 from typing import Iterable
 
+from segflow.ignore_names import IGNORE_NAMES
+
 # ---------------------------------------------------------------------------
 # Fixed values (must match the reference's configuration and output names).
 # ---------------------------------------------------------------------------
@@ -30,17 +31,9 @@ HL7_SEGMENTS = ("pid", "pv1", "pv2", "pd1", "evn", "in1", "in2", "obx", "al1", "
 # States kept by the output filter (case-sensitive, untrimmed).
 STATES = ("CA", "OR", "WA", "ID", "UT")
 
-# Full raw names dropped before renaming.  These are the entries of the
-# reference's ignore-name list that name a position this layout can produce;
-# a complete list in the reference's one-name-per-line format can be passed
-# through `ignore_names=` / `load_name_list()` instead.
-DEFAULT_IGNORE_NAMES = (
-    "evn_1_event_type_code_id_none",
-    "pid_18_patient_account_number_cx_1_id_number_2",
-    "pid_1_set_id_pid_si_none",
-    "pid_3_patient_identifier_list_cx_1_id_number",
-    "pv1_3_assigned_patient_location_pl_7_building",
-)
+# Full raw names dropped before renaming; a list in the same one-name-per-line
+# format can be passed through `ignore_names=` / `load_name_list()` instead.
+DEFAULT_IGNORE_NAMES = tuple(IGNORE_NAMES)
 
 # HL7 v2 datatype codes that occur inside raw names.
 DATATYPE_CODES = (
@@ -56,19 +49,6 @@ JDBC_BATCH_SIZE = 2000
 NAME_MAX_BYTES = 63
 NAME_CUT_CHARS = 62
 
-# Datatypes of fields that carry no mapped name but appear in the reference's
-# ignore-name list (segment-field: type).  Needed so component ignores apply to
-# their unmapped values.
-EXTRA_FIELD_TYPES = (
-    "AL1-1 SI", "EVN-1 ID",
-    "GT1-4 XPN", "GT1-5 XAD", "GT1-7 XTN", "GT1-8 TS", "GT1-9 IS", "GT1-10 IS", "GT1-11 CE",
-    "GT1-12 ST", "GT1-16 XPN", "GT1-17 XAD", "GT1-18 XTN", "GT1-20 IS", "GT1-23 CE",
-    "IN1-6 XPN", "IN1-44 XAD", "OBX-1 SI",
-    "PID-1 SI", "PID-6 XPN", "PID-21 CX", "PID-23 ST", "PID-24 ID", "PID-25 NM",
-    "PV1-1 SI", "PV1-9 XCN", "PV1-39 IS",
-    "ZPV-5 ST", "ZPV-6 ST", "ZPV-11 ST", "ZPV-12 ST", "ZPV-13 ST",
-)
-
 # Raw name -> business name, in the reference's order.
 FIELD_MAP = (
     ("al1_2_allergen_type_code_ce_1_identifier", "pt_allergy_allergen_type_code_1"),
@@ -259,9 +239,6 @@ FIELD_MAP = (
 # Derived by rule.
 # ---------------------------------------------------------------------------
 
-_NAME_TAIL = re.compile(r"^(.*?)_(\d+)$")
-
-
 @dataclass(frozen=True)
 class Position:
     """One extracted value: `segment`-`field`.`component`, optional repetition.
@@ -337,10 +314,6 @@ def field_datatypes(field_map: Iterable[tuple[str, str]] = FIELD_MAP,
                     extra_names: Iterable[str] = ()) -> dict[tuple[str, int], str]:
     """(segment, field) -> datatype for every field named in the given lists."""
     out: dict[tuple[str, int], str] = {}
-    for item in EXTRA_FIELD_TYPES:
-        pos, dt = item.split()
-        seg, num = pos.split("-")
-        out[(seg.lower(), int(num))] = dt.lower()
     for raw in [r for r, _ in field_map] + list(extra_names):
         pos = parse_raw_name(raw)
         if pos is not None:
@@ -437,6 +410,14 @@ def mapped_keys(field_map: Iterable[tuple[str, str]] = FIELD_MAP) -> frozenset:
     return frozenset(c.pos.key for c in columns(field_map) if c.pos.rep is None)
 
 
+def listed_repetitions(field_map: Iterable[tuple[str, str]] = FIELD_MAP) -> dict[str, set[int]]:
+    """Positional key -> repetitions that have a business name in numbered mode."""
+    out: dict[str, set[int]] = {}
+    for c in columns(field_map):
+        out.setdefault(c.pos.key, set()).add(c.pos.rep or 1)
+    return out
+
+
 def truncated_name(name: str) -> str:
     """Postgres-safe name: over 63 bytes -> first 62 characters."""
     if len(name.encode("utf-8")) > NAME_MAX_BYTES:

@@ -82,6 +82,12 @@ def _value(pos: layout.Position, numbered: bool) -> str:
             f"ELSE {hl7.last_component_sql(text, pos.component)} END")
 
 
+def single_value_sql(pos: layout.Position) -> str:
+    """One mapped value straight from its segment column (default reading)."""
+    text = hl7.field_sql(f"({hl7.segment_fields_sql(ident(pos.segment), pos.segment)})", pos.field)
+    return hl7.last_component_sql(text, pos.component)
+
+
 def extras_exclusions(seg: str, rules: layout.IgnoreRules, field_map=layout.FIELD_MAP,
                       numbered: bool = False) -> tuple[list[int], list[str]]:
     """Fields and positional keys of `seg` that never go to `extras`:
@@ -111,7 +117,9 @@ def flatten_wide(envelopes: DataFrame,
     Columns: `keep` (metadata, default patientid and dob), then one string
     column per mapped position of the chosen segments (business names, or
     raw names with `rename=False`), then `extras map<string,string>` of
-    unmapped, un-ignored values when `extras=True`.  Expects lower-cased
+    unmapped, un-ignored values when `extras=True`.  In numbered mode `extras`
+    also holds the repetitions of mapped positions that have no name of their
+    own (`pid_11_1_3`), so no repetition is lost.  Expects lower-cased
     envelope names (see `shape.lower_case_names`).
     """
     rules = rules or layout.ignore_rules()
@@ -135,6 +143,9 @@ def flatten_wide(envelopes: DataFrame,
             ex_fields, ex_keys = extras_exclusions(s, rules, field_map, numbered)
             e = hl7.field_entries_sql(s, ident(_fields_name(s)), ex_fields, ex_keys)
             entries.append(f"coalesce({e}, CAST(array() AS {ENTRY_TYPE}))")
+            more = repetition_entries(s, rules, field_map) if numbered else None
+            if more:
+                entries.append(more)
         merged = f"concat({', '.join(entries)})" if entries else f"CAST(array() AS {ENTRY_TYPE})"
         out.append(f"map_from_entries({merged}) AS extras")
     return parts.selectExpr(*out)
@@ -155,6 +166,19 @@ def segments_long(envelopes: DataFrame,
         f"named_struct('seg', {sql_str(s)}, 'fields', "
         f"{hl7.segment_fields_sql(_segment_text(envelopes, s), s)})" for s in segs)
     stacked = envelopes.selectExpr(*k, f"inline(array({structs}))")
+    return _explode_fields(stacked, k)
+
+
+def occurrences_long(segments: DataFrame, keep: Iterable[str] = ("patientid", "id")) -> DataFrame:
+    """X12 over segment rows (seg, occurrence, text), as `blob_segments` gives
+    them: keep, seg, occurrence, field, rep, comp, value.  No shuffle."""
+    k = [*[ident(x) for x in keep], "occurrence"]
+    split = segments.selectExpr(*k, "seg", f"split(text, {sql_str(hl7.FIELD_SEP)}) AS fields")
+    return _explode_fields(split, k)
+
+
+def _explode_fields(stacked: DataFrame, k: list[str]) -> DataFrame:
+    """(k, seg, fields) -> one row per non-blank component value."""
     fields = stacked.selectExpr(*k, "seg", "posexplode(fields) AS (field, _ftext)") \
         .where("field > 0")
     reps = fields.selectExpr(*k, "seg", "field",
@@ -173,9 +197,13 @@ def _in_list(expr: str, keys) -> str:
 
 
 def ignore_predicate_sql(rules: layout.IgnoreRules | None = None, seg: str = "seg",
-                         field: str = "field", comp: str = "comp", rep: str = "rep") -> str:
+                         field: str = "field", comp: str = "comp", rep: str = "rep",
+                         numbered: bool = False) -> str:
     """X6-X8 on long rows: true for rows the ignore lists drop.
 
+    Names that end in a repetition number are names of numbered mode only, so
+    they drop nothing unless `numbered`; there they drop that repetition.
+
     Three hash-set lookups (`IN` over literal keys becomes an InSet), so the
     check stays in the generated code of the scan stage; no join is needed.
     """
@@ -185,20 +213,49 @@ def ignore_predicate_sql(rules: layout.IgnoreRules | None = None, seg: str = "se
     for (s, f), dt in rules.datatypes.items():
         comp_keys.update(f"{s}_{f}_{c}" for d, c in rules.components if d == dt)
     comp_keys.update(f"{s}_{f}_{c}" for s, f, c, r in rules.names if r is None)
-    rep_keys = [f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if r is not None]
+    rep_keys = [f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if numbered and r is not None]
     k2 = f"concat_ws('_', {seg}, CAST({field} AS STRING))"
     k3 = f"concat_ws('_', {k2}, CAST({comp} AS STRING))"
     k4 = f"concat_ws('_', {k3}, CAST({rep} AS STRING))"
     return f"({_in_list(k2, sf)} OR {_in_list(k3, comp_keys)} OR {_in_list(k4, rep_keys)})"
 
 
-def ignore_predicate(rules: layout.IgnoreRules | None = None) -> Column:
-    return F.expr(ignore_predicate_sql(rules))
+def ignore_predicate(rules: layout.IgnoreRules | None = None, numbered: bool = False) -> Column:
+    return F.expr(ignore_predicate_sql(rules, numbered=numbered))
 
 
-def apply_ignore_lists(long_rows: DataFrame, rules: layout.IgnoreRules | None = None) -> DataFrame:
+def apply_ignore_lists(long_rows: DataFrame, rules: layout.IgnoreRules | None = None,
+                       numbered: bool = False) -> DataFrame:
     """Drop ignored positions from long rows."""
-    return long_rows.where(f"NOT {ignore_predicate_sql(rules)}")
+    return long_rows.where(f"NOT {ignore_predicate_sql(rules, numbered=numbered)}")
+
+
+def repetition_entries(seg: str, rules: layout.IgnoreRules, field_map=layout.FIELD_MAP) -> str | None:
+    """SQL: entries of the mapped positions of `seg` whose repetition has no
+    business name in numbered mode, under `seg_field_comp_rep` keys.
+
+    A field without a repetition mark only has repetition 1; it is split only
+    if some position of it does not name that one.
+    """
+    listed = {k: v for k, v in layout.listed_repetitions(field_map).items() if k.startswith(seg + "_")}
+    taken = {f"{k}_{r}" for k, reps in listed.items() for r in reps}
+    taken |= {f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if s == seg and r is not None}
+    mapped = {k for k in listed if not rules.drops(seg, *map(int, k.split("_")[1:]))}
+    fields = ident(_fields_name(seg))
+    parts = []
+    for f in sorted({int(k.split("_")[1]) for k in mapped}):
+        keys = sorted(k for k in mapped if int(k.split("_")[1]) == f)
+        text = hl7.field_sql(fields, f)
+        once = all(1 in listed[k] for k in keys)
+        entries = (f"flatten(transform(split({text}, {sql_str(hl7.REP_SEP)}), (r, i) -> "
+                   f"transform(split(r, {sql_str(hl7.COMP_SEP)}), (v, j) -> named_struct('key', "
+                   f"concat('{seg}_{f}_', CAST(j + 1 AS STRING), '_', CAST(i + 1 AS STRING)), 'value', v))))")
+        kept = (f"filter({entries}, e -> trim(e.value) <> '' AND {_in_list('substring_index(e.key, ' + chr(39) + '_' + chr(39) + ', 3)', keys)} "
+                f"AND NOT {_in_list('e.key', taken)})")
+        parts.append(f"CASE WHEN contains({text}, '~') THEN {kept} END" if once else kept)
+    if not parts:
+        return None
+    return "concat(" + ", ".join(f"coalesce({p}, CAST(array() AS {ENTRY_TYPE}))" for p in parts) + ")"
 
 
 def extras_long(wide: DataFrame, keep: Iterable[str] = ("patientid",)) -> DataFrame:
