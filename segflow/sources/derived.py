@@ -9,6 +9,10 @@ Shapes covered: repeated fields (PID-3, PID-11, PV1-3, AL1-2, AL1-5, DG1-3),
 a blank last repetition (PID-11.4), NULL segments (PID), id-only segments
 (PV1), unmapped values (PID-6, IN1-5.2, NK1), ignored components (CX_5,
 XTN_2, XTN_3, XPN_3) and exact duplicate envelopes.
+
+One order in ten (`FULL_RULE`) gets a full message instead: every place of
+`FULL_PLACES` holds a text of its own, some fields repeat up to four times, and
+all ignored components and fields are present.
 """
 
 from __future__ import annotations
@@ -100,6 +104,70 @@ ENVELOPE_SQL = {
            + _NAT + " END",
 }
 
+# Full messages: field.component places of each segment that hold a value.  The
+# table is written out here, apart from the column layout, so that a wrong
+# position in the layout shows up against it.
+FULL_RULE = "o_orderkey % 10 = 4"
+FULL_PLACES = {
+    "EVN": "1.1 2.1 4.1 5.1 5.2 5.3 5.4 5.9 5.14 6.1 7.1 7.2 7.3",
+    "PID": "1.1 2.1 2.4 2.5 3.1 3.2 3.4 3.5 4.1 4.4 5.1 5.2 5.3 5.5 6.1 6.3 7.1 8.1 9.1 9.2 9.3 10.1 10.2 11.1 11.2 "
+           "11.3 11.4 11.5 11.6 11.7 11.9 11.13 12.1 13.1 13.2 13.3 13.4 13.5 13.6 13.7 13.9 14.1 14.2 15.1 15.2 16.1 "
+           "17.1 18.1 18.4 18.5 19.1 20.1 22.1 22.2 25.1 27.1 28.1 29.1 30.1",
+    "PV1": "1.1 2.1 3.1 3.2 3.3 3.4 3.5 3.6 3.7 3.9 3.11 4.1 6.1 6.2 6.3 6.4 6.7 7.1 7.2 7.3 7.4 7.9 7.13 8.1 8.2 8.3 "
+           "8.4 8.9 8.13 9.1 9.4 10.1 11.4 14.1 17.1 17.2 17.4 17.10 17.12 18.1 19.1 19.4 20.1 36.1 37.1 41.1 44.1 45.1 "
+           "47.1 50.1 50.5 52.4 52.5",
+    "PV2": "2.1 8.1 9.1 10.1 12.1 21.1 22.1 32.1 38.1 40.1",
+    "PD1": "3.1 3.3 4.1 4.2 4.3 4.4 4.9 4.13 15.1 15.2",
+    "IN1": "1.1 2.1 2.2 3.1 3.2 3.4 4.1 5.1 5.2 5.3 5.4 5.5 6.3 7.1 7.2 8.1 9.1 16.1 16.2 16.3 17.1 18.1 19.1 19.3 19.4 "
+           "19.5 19.6 19.9 22.1 25.1 35.1 36.1 42.1 43.1 47.1",
+    "IN2": "2.1 5.1 6.1 61.1 61.5 63.1 63.2 64.1 64.7 70.1",
+    "OBX": "1.1 2.1 3.1 4.1 5.1 11.1",
+    "AL1": "1.1 2.1 3.1 3.2 3.3 4.1 5.1 6.1",
+    "GT1": "1.1 2.1 2.4 3.1 3.2 3.3 6.1 6.2 46.1 46.6 49.1",
+    "ZPV": "15.1 39.1",
+    "DG1": "1.1 2.1 3.1 3.2 4.1 5.1 6.1",
+    "NK1": "1.1 2.1 2.2",
+}
+# Fields of a full message that repeat; earlier repetitions hold other texts.
+FULL_REPEATS = {("PID", 3): 4, ("PID", 11): 2, ("PID", 13): 4, ("PID", 18): 3, ("AL1", 2): 4, ("AL1", 5): 2,
+                ("EVN", 5): 3, ("PV1", 3): 2}
+FULL_STATE = ("PID", 11, 4)
+
+
+def full_value(seg: str, field: int, comp: int, rep: int | None = None) -> str:
+    """Template text of one place; # stands for the order key.  `rep` numbers an
+    earlier repetition, None is the last one."""
+    if (seg, field, comp) == FULL_STATE:
+        return "@" if rep is None else "NV"
+    return f"{seg.lower()} {field} {comp}" + (f" r{rep}" if rep else "") + " #"
+
+
+def full_template(seg: str) -> str:
+    """Text of a full segment with # for the order key and @ for the state."""
+    places: dict[int, list[int]] = {}
+    for place in FULL_PLACES[seg].split():
+        f, c = place.split(".")
+        places.setdefault(int(f), []).append(int(c))
+    out = [seg]
+    for f in range(1, max(places) + 1):
+        reps = FULL_REPEATS.get((seg, f), 1)
+        texts = []
+        for r in range(1, reps + 1):
+            rep = r if r < reps else None
+            texts.append("^".join(full_value(seg, f, c, rep) if c in places.get(f, []) else ""
+                                  for c in range(1, max(places.get(f, [0])) + 1)))
+        out.append("~".join(texts))
+    return "|".join(out)
+
+
+def full_segment_sql(seg: str) -> str:
+    text = f"replace('{full_template(seg)}', '#', {_KEY})"
+    return f"replace({text}, '@', {_STATE})" if seg == FULL_STATE[0] else text
+
+
+for _seg in FULL_PLACES:
+    ENVELOPE_SQL[_seg] = f"CASE WHEN {FULL_RULE} THEN {full_segment_sql(_seg)} ELSE {ENVELOPE_SQL[_seg]} END"
+
 # Messages the feed delivers twice (urgent orders are re-sent), so the dedupe
 # has exact copies to remove.
 DUPLICATE_RULE = "o_orderpriority = '1-URGENT'"

@@ -25,19 +25,54 @@ DECLARED = _schema(METADATA + ("MSH",) + DECLARED_SEGMENTS)
 ENVELOPE = _schema(METADATA + ("MSH",) + SUPERSET_SEGMENTS)
 
 
+# Column that Spark's JSON readers fill with text that does not parse.
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt(schema: StructType) -> StructType:
+    return StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
+
+
+def _parse_reason(columns, corrupt: Column) -> Column:
+    """Why a parsed row is no envelope: its text did not parse, or holds nothing."""
+    empty = F.lit(True)
+    for c in columns:
+        empty = empty & c.isNull()
+    return F.when(corrupt.isNotNull(), F.lit("invalid json")).when(empty, F.lit("empty envelope"))
+
+
+def read_json_routed(spark: SparkSession, path, schema: StructType | None = ENVELOPE,
+                     multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1/S2 with dead letters: (envelopes, rows that are none with `reason`).
+
+    Each text of the input is in exactly one of the two; the dead ones keep
+    their text in `_corrupt_record`.
+    """
+    reader = (spark.read.option("multiLine", multiline).option("primitivesAsString", True)
+              .option("columnNameOfCorruptRecord", CORRUPT))
+    if schema is not None:
+        reader = reader.schema(with_corrupt(schema))
+    df = reader.json(path)
+    names = [c for c in df.columns if c != CORRUPT]
+    if CORRUPT not in df.columns:       # inference met no bad text
+        df = df.withColumn(CORRUPT, F.lit(None).cast("string"))
+    tagged = df.withColumn("reason", _parse_reason([F.col(c) for c in names], F.col(CORRUPT)))
+    return tagged.where("reason IS NULL").select(*names), tagged.where("reason IS NOT NULL")
+
+
 def read_json_envelopes(spark: SparkSession, path, schema: StructType | None = ENVELOPE,
                         multiline: bool = True, dedupe: bool = True) -> DataFrame:
     """Scan JSON envelopes (any Hadoop path or glob).
 
-    `multiline=True` reads one object per file, as the feed writes them;
+    `multiline=True` reads one document per file, as the feed writes them;
     JSON-lines input should pass False so files split.  `schema=None` opts
-    into inference (one extra pass over the data).  Exact duplicates are
-    removed unless `dedupe=False`.
+    into inference of the names (one extra pass over the data); every value
+    stays text, as with a declared schema, so a numeric `id` or `patientId`
+    cannot change a column's type.  Exact duplicates are removed unless
+    `dedupe=False`.  Text that is no envelope is left out here and returned by
+    `read_json_routed`.
     """
-    reader = spark.read.option("multiLine", multiline)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.json(path)
+    df, _ = read_json_routed(spark, path, schema, multiline)
     return df.dropDuplicates() if dedupe else df
 
 
@@ -53,12 +88,41 @@ def date_prefix(ts: Column | str, padded: bool = False) -> Column:
     return F.when(ts.isNotNull(), F.concat_ws("/", *[x.cast("string") for x in parts]))
 
 
+def parse_documents(docs: DataFrame, json_col: str, schema: StructType = ENVELOPE, more_reasons=None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Parse a text column: (envelopes, dead rows = input columns + `reason`).
+
+    The text is parsed once, behind a one-row generator: the routing filters
+    read the generated column, so Catalyst cannot push them under the parse and
+    run `from_json` again for each field they mention.  `more_reasons` maps the
+    parsed struct's name to a Column with further reasons.
+    """
+    parsed_struct = F.from_json(unwrap_json(json_col), with_corrupt(schema),
+                                {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = docs.select("*", F.inline(F.array(F.struct(parsed_struct.alias("_e")))))
+    reason = F.coalesce(F.when(F.col("_e").isNull(), F.lit("invalid json")),
+                        _parse_reason([F.col(f"_e.`{f.name}`") for f in schema.fields], F.col(f"_e.{CORRUPT}")))
+    if more_reasons is not None:
+        reason = F.coalesce(reason, more_reasons("_e"))
+    tagged = parsed.withColumn("reason", reason)
+    good = tagged.where("reason IS NULL").select(*[F.col(f"_e.`{f.name}`").alias(f.name) for f in schema.fields])
+    return good, tagged.where("reason IS NOT NULL").drop("_e")
+
+
+def scan_documents_routed(docs: DataFrame, prefix: str = "pid_", key_col: str = "key", json_col: str = "json",
+                          schema: StructType = ENVELOPE) -> tuple[DataFrame, DataFrame]:
+    """S3 with dead letters: (envelopes, documents that are none with `reason`)."""
+    return parse_documents(docs.where(F.col(key_col).startswith(prefix)), json_col, schema)
+
+
 def scan_documents(docs: DataFrame, prefix: str = "pid_", key_col: str = "key",
                    json_col: str = "json", schema: StructType = ENVELOPE,
                    dedupe: bool = True) -> DataFrame:
-    """S3: documents whose key starts with `prefix` (literal, no wildcard), parsed."""
-    parsed = docs.where(F.col(key_col).startswith(prefix)).select(
-        F.from_json(F.col(json_col), schema).alias("e")).select("e.*")
+    """S3: documents whose key starts with `prefix` (literal, no wildcard), parsed.
+
+    Text that is no envelope is left out here and returned by
+    `scan_documents_routed`."""
+    parsed, _ = scan_documents_routed(docs, prefix, key_col, json_col, schema)
     return parsed.dropDuplicates() if dedupe else parsed
 
 
@@ -68,10 +132,19 @@ def unwrap_json(text: Column | str) -> Column:
     return F.when(F.ltrim(t).startswith('"'), F.get_json_object(t, "$")).otherwise(t)
 
 
+def read_message_table_routed(messages: DataFrame, json_col: str = "patientjson",
+                              schema: StructType = ENVELOPE) -> tuple[DataFrame, DataFrame]:
+    """S8 with dead letters: (envelopes, message rows that are none with `reason`)."""
+    return parse_documents(messages, json_col, schema)
+
+
 def read_message_table(messages: DataFrame, json_col: str = "patientjson",
                        schema: StructType = ENVELOPE, dedupe: bool = True) -> DataFrame:
-    """A table of raw JSON documents (possibly double-encoded) -> envelopes."""
-    parsed = messages.select(F.from_json(unwrap_json(json_col), schema).alias("e")).select("e.*")
+    """A table of raw JSON documents (possibly double-encoded) -> envelopes.
+
+    Text that is no envelope is left out here and returned by
+    `read_message_table_routed`."""
+    parsed, _ = read_message_table_routed(messages, json_col, schema)
     return parsed.dropDuplicates() if dedupe else parsed
 
 
@@ -84,33 +157,55 @@ def read_jdbc_catchup(spark: SparkSession, url: str, table: str, properties: dic
                            properties=properties)
 
 
-def _last_segment_sql(t: str, seg: str) -> str:
-    """Last `seg` segment in `t`, a CR-normalised text with a CR before the
-    first and after the last segment; NULL when absent.  Plain string
-    functions (linear scans, generated code): `substring_index(..., -1)`
-    finds the last `CR SEG|` and the last bare `CR SEG CR`; the later wins."""
-    pipe, bare = f"\\r{seg}|", f"\\r{seg}\\r"
-    after = f"substring_index({t}, '{pipe}', -1)"
-    a_pos = f"CASE WHEN contains({t}, '{pipe}') THEN octet_length({t}) - octet_length({after}) ELSE 0 END"
-    b_pos = (f"CASE WHEN contains({t}, '{bare}') THEN "
-             f"octet_length({t}) - octet_length(substring_index({t}, '{bare}', -1)) ELSE 0 END")
-    return (f"CASE WHEN {a_pos} = 0 AND {b_pos} = 0 THEN NULL "
-            f"WHEN {a_pos} > {b_pos} THEN concat('{seg}|', substring_index({after}, '\\r', 1)) "
-            f"ELSE '{seg}' END")
+def _blob_matches(rows: DataFrame, blob_col: str, meta, segments) -> DataFrame:
+    """meta columns and, for each segment id, `__m_<id>`: its segments in order.
+
+    Line breaks are normalised and the blob is split once; the arrays are read
+    from that projection (they are used more than once, so it stays apart).
+    """
+    text = f"decode(`{blob_col}`, 'UTF-8')" if dict(rows.dtypes)[blob_col] == "binary" \
+        else f"`{blob_col}`"
+    cols = [f"`{m}`" for m in meta if m in rows.columns]
+    norm = f"split(replace(replace({text}, '\\r\\n', '\\r'), '\\n', '\\r'), '\\r') AS __parts"
+    parts = rows.selectExpr(*cols, norm)
+    return parts.selectExpr(*cols, *[
+        f"filter(__parts, p -> startswith(p, '{s}|') OR p = '{s}') AS `__m_{s}`" for s in segments])
 
 
 def segments_from_blob(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
                        segments=("MSH",) + SUPERSET_SEGMENTS) -> DataFrame:
     """Metadata + raw HL7 blob (segments split by CR, LF or CRLF) -> envelope columns.
 
-    For a segment id that occurs more than once, the last occurrence is kept
-    (the envelope holds one text per segment id).  Line breaks are
-    normalised once; each segment id is then found with string functions,
-    no lambda and no regex, so the projection stays in generated code.
+    The envelope holds one text per segment id, the last one.  Earlier ones of a
+    segment that occurs more than once are kept in `repeated`
+    (array<struct<seg,occurrence,text>>), so nothing is lost; `blob_segments`
+    gives all of them as rows.
     """
-    text = f"decode(`{blob_col}`, 'UTF-8')" if dict(rows.dtypes)[blob_col] == "binary" \
-        else f"`{blob_col}`"
-    cols = [f"`{m}`" for m in meta if m in rows.columns]
-    norm = f"concat('\\r', replace(replace({text}, '\\r\\n', '\\r'), '\\n', '\\r'), '\\r') AS __blob"
-    decoded = rows.selectExpr(*cols, norm)
-    return decoded.selectExpr(*cols, *[f"{_last_segment_sql('__blob', s)} AS `{s}`" for s in segments])
+    m = _blob_matches(rows, blob_col, meta, segments)
+    cols = [f"`{c}`" for c in meta if c in rows.columns]
+    earlier = ", ".join(
+        f"IF(size(`__m_{s}`) > 1, transform(slice(`__m_{s}`, 1, greatest(size(`__m_{s}`) - 1, 0)), (t, i) -> "
+        f"named_struct('seg', '{s.lower()}', 'occurrence', i + 1, 'text', t)), "
+        f"CAST(array() AS array<struct<seg:string,occurrence:int,text:string>>))" for s in segments)
+    return m.selectExpr(*cols, *[f"try_element_at(`__m_{s}`, -1) AS `{s}`" for s in segments],
+                        f"concat({earlier}) AS repeated")
+
+
+def blob_segments(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
+                  segments=SUPERSET_SEGMENTS) -> DataFrame:
+    """S6 as rows: metadata, seg (lower-case id), occurrence (1-based) and text of
+    every segment of every blob.  Two generators, no shuffle."""
+    m = _blob_matches(rows, blob_col, meta, segments)
+    cols = [f"`{c}`" for c in meta if c in rows.columns]
+    by_id = ", ".join(f"named_struct('seg', '{s.lower()}', 'texts', `__m_{s}`)" for s in segments)
+    return (m.selectExpr(*cols, f"inline(array({by_id}))")
+            .selectExpr(*cols, "seg", "posexplode(texts) AS (_i, text)")
+            .selectExpr(*cols, "seg", "_i + 1 AS occurrence", "text"))
+
+
+def catch_up(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str,
+             lower: int, upper: int, num_partitions: int, blob_col: str = "hl7") -> tuple[DataFrame, DataFrame]:
+    """S6 as one flow: the relational table read in parallel ranges, as
+    (envelopes, all segments as rows)."""
+    rows = read_jdbc_catchup(spark, url, table, properties, partition_column, lower, upper, num_partitions)
+    return segments_from_blob(rows, blob_col), blob_segments(rows, blob_col)
