@@ -38,16 +38,19 @@ def truncate_names(df: DataFrame) -> DataFrame:
 
 def observed_columns(df: DataFrame, fixed: Iterable[str], extras_col: str = "extras") -> list[str]:
     """Names of the fixed columns that hold a value somewhere, plus every
-    `extras` key seen.  One aggregation pass; only the (bounded) set of
-    column names comes back to the driver, never rows.
+    `extras` key seen.
+
+    Two aggregates: one row of flags, and the distinct keys (folded in every map
+    task, then shuffled by key).  The keys are the result's column names, so
+    they must reach the driver; a table cannot have more of them than the
+    driver can plan.
     """
     fixed = list(fixed)
-    marks = [F.col(c).isNotNull().cast("int").alias(f"_{i}") for i, c in enumerate(fixed)]
-    exploded = df.select(*marks, F.explode_outer(F.map_keys(F.col(extras_col))).alias("_k"))
-    flags = [F.max(f"_{i}").alias(f"_{i}") for i in range(len(fixed))]
-    row = exploded.agg(*flags, F.array_sort(F.collect_set("_k")).alias("_keys")).first()
-    names = [c for i, c in enumerate(fixed) if row[f"_{i}"] == 1]
-    return names + [k for k in (row["_keys"] or []) if k not in names]
+    flags = df.agg(*[F.max(F.col(c).isNotNull().cast("int")).alias(f"_{i}") for i, c in enumerate(fixed)]).first() \
+        if fixed else {}
+    keys = sorted(r[0] for r in df.select(F.explode(F.map_keys(extras_col)).alias("_k")).distinct().collect())
+    names = [c for i, c in enumerate(fixed) if flags[f"_{i}"] == 1]
+    return names + [k for k in keys if k not in names]
 
 
 def observed_wide(df: DataFrame, keep: Iterable[str] = ("patientid", "dob"),

@@ -1,7 +1,7 @@
 """End-to-end plans: envelopes -> patient rows -> sinks.
 
 `patient_rows` is the whole nightly job as one lazy plan:
-dedupe -> lower-case names -> flatten (expressions only) -> state filter.
+lower-case names -> state filter -> dedupe -> flatten (expressions only).
 The dedupe is its only shuffle.
 """
 
@@ -10,9 +10,11 @@ from __future__ import annotations
 from typing import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from segflow import layout
-from segflow.operators import extract, filters, shape
+from segflow.operators import deadletter, extract, filters, shape
+from segflow.session import checkpoint_dir
 from segflow.sinks import tables
 
 
@@ -22,30 +24,66 @@ def prepared(envelopes: DataFrame, dedupe: bool = True) -> DataFrame:
     return shape.lower_case_names(df)
 
 
+def _state_first(envelopes: DataFrame, states: Iterable[str], rules=None) -> DataFrame | None:
+    """F1 on envelopes: rows whose state is kept, before anything is shuffled.
+
+    The state is read once, behind a one-row generator, so the filter cannot be
+    pushed into the message text as a repeated expression.  None if the layout
+    has no state column here.
+    """
+    found = [c for c in layout.wide_columns(rules=rules) if c.name == filters.STATE_COLUMN]
+    if not found or found[0].pos.segment not in envelopes.columns:
+        return None
+    value = extract.single_value_sql(found[0].pos)
+    state = f"inline(array(named_struct('__state', {value})))"
+    return envelopes.selectExpr("*", state).where(F.col("__state").isin(list(states))).drop("__state")
+
+
 def patient_rows(envelopes: DataFrame,
                  segments: Iterable[str] = layout.HL7_SEGMENTS,
                  states: Iterable[str] | None = layout.STATES,
                  dedupe: bool = True, **flatten_opts) -> DataFrame:
-    """The reference job's output rows for one run (before the sink)."""
-    wide = extract.flatten_wide(prepared(envelopes, dedupe), segments=segments, **flatten_opts)
-    return filters.keep_states(wide, states) if states is not None else wide
+    """The reference job's output rows for one run (before the sink).
+
+    The state filter runs on the envelopes, below the dedupe: rejected rows are
+    neither shuffled nor flattened.  Equal envelopes have equal states, so the
+    order does not matter.
+    """
+    segments = list(segments)
+    df = shape.lower_case_names(envelopes)
+    kept = None
+    if states is not None and not flatten_opts.get("numbered"):
+        states = list(states)
+        if "pid" in [x.lower() for x in segments]:
+            kept = _state_first(df, states, flatten_opts.get("rules"))
+    df = df if kept is None else kept
+    df = df.dropDuplicates() if dedupe else df
+    wide = extract.flatten_wide(df, segments=segments, **flatten_opts)
+    return filters.keep_states(wide, states) if states is not None and kept is None else wide
+
+
+def _routed_rows(envelopes: DataFrame, opts: dict) -> tuple[DataFrame, DataFrame]:
+    """(rows of good envelopes under database names, cut; dead letters)."""
+    good, dead = deadletter.route_envelopes(envelopes)
+    rows = shape.truncate_names(patient_rows(good, **opts))
+    checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint(eager=True), dead
 
 
 def run_feeds_jdbc(envelopes: DataFrame, feeds: Iterable[str], url: str, properties: dict,
                    version: str = layout.TABLE_VERSION, evolve_ddl=None,
-                   **opts) -> dict[str, int]:
-    """K1-K3 for a relational sink: flatten once, append to one table per feed.
+                   dead_table: str | None = None, **opts) -> dict[str, int]:
+    """K1-K3, K5 for a relational sink: flatten once, append to one table per feed.
 
+    Dead envelopes go to `dead_table` (by default `<version>_dead_letters`).
     The flattened rows are checkpointed into the shared checkpoint folder
     (reliable, survives executor loss) so each feed's write reads them back
     instead of re-running the scan and dedupe.  An empty result skips the
     writes (F2).  Names are truncated for the database (P5).
     """
-    rows = shape.truncate_names(patient_rows(envelopes, **opts))
-    from segflow.session import checkpoint_dir
-
-    checkpoint_dir(rows.sparkSession)
-    rows = rows.checkpoint(eager=True)
+    rows, dead = _routed_rows(envelopes, opts)
+    if filters.has_rows(dead):
+        tables.append_jdbc(dead, url, dead_table or f"{version}_dead_letters", properties)
     if not filters.has_rows(rows):
         return {}
     written = {}
@@ -59,7 +97,16 @@ def run_feeds_jdbc(envelopes: DataFrame, feeds: Iterable[str], url: str, propert
 
 
 def run_feeds_parquet(envelopes: DataFrame, feeds: Iterable[str], base_path: str,
-                      version: str = layout.TABLE_VERSION, **opts) -> dict[str, int]:
-    """K1-K3 Parquet twin: a single job writes every feed's table directory."""
-    rows = shape.truncate_names(patient_rows(envelopes, **opts))
+                      version: str = layout.TABLE_VERSION, dead_path: str | None = None,
+                      **opts) -> dict[str, int]:
+    """K1-K3, K5 Parquet twin: a single job writes every feed's table directory.
+
+    Dead envelopes are appended to `dead_path` (by default `<base_path>_dead`).
+    Neither path is touched when there is nothing to write to it (F2).
+    """
+    rows, dead = _routed_rows(envelopes, opts)
+    if filters.has_rows(dead):
+        tables.append_parquet(dead, dead_path or f"{base_path.rstrip('/')}_dead")
+    if not filters.has_rows(rows):
+        return {}
     return tables.write_feeds_parquet(rows, base_path, feeds, version)
