@@ -3,15 +3,15 @@
 Each query in `queries.py` has an independent DuckDB formulation here: the
 same derived envelopes (shared input text, see `sources/derived.py`), then
 the operator written with DuckDB list functions, `unnest`, window functions
-and `NOT EXISTS`.  Only the positional layout (which position has which
-business name) is shared.
+and `NOT EXISTS`.  Names and places come from `places.py`, not from the layout;
+only raw names and the names of numbered mode are shared.
 """
 
 from __future__ import annotations
 
 from segflow import layout
-from segflow.operators.extract import extras_exclusions
-from segflow.sources.derived import DUCKDB_DATES, DUPLICATE_RULE, envelope_exprs
+from segflow.plans.places import IGNORED_FIELDS, IGNORED_PLACES, NUMBERED, PLACES
+from segflow.sources.derived import (DUCKDB_DATES, DUPLICATE_RULE, FULL_RULE, envelope_exprs)
 from segflow.sources.envelope import ENVELOPE
 
 ENV_COLS = [f.name for f in ENVELOPE.fields]
@@ -70,13 +70,19 @@ def split_cte(source: str = "env", keep=("patientid", "dob"), name: str = "split
 
 def wide_select(keep=("patientid", "dob"), numbered: bool = False, rename: bool = True,
                 segments=SEGMENTS, source: str = "split") -> str:
-    cols = layout.wide_columns(segments, numbered=numbered)
     parts = [_q(k) for k in keep]
-    for c in cols:
-        fe = f"f_{c.pos.segment}[{c.pos.field + 1}]"
-        v = _nth(fe, c.pos.component, c.pos.rep or 1) if numbered else _last(fe, c.pos.component)
-        name = c.name if rename else layout.truncated_name(c.raw)
-        parts.append(f"{v} AS {_q(name)}")
+    if not numbered and rename:
+        for name, place in PLACES.items():
+            seg, _, at = place.partition("-")
+            f, c = at.split(".")
+            if seg in segments:
+                parts.append(f"{_last(f'f_{seg}[{int(f) + 1}]', int(c))} AS {_q(name)}")
+    else:
+        for c in layout.wide_columns(segments, numbered=numbered):
+            fe = f"f_{c.pos.segment}[{c.pos.field + 1}]"
+            v = _nth(fe, c.pos.component, c.pos.rep or 1) if numbered else _last(fe, c.pos.component)
+            name = c.name if rename else layout.truncated_name(c.raw)
+            parts.append(f"{v} AS {_q(name)}")
     return "SELECT " + ",\n  ".join(parts) + f"\nFROM {source}"
 
 
@@ -117,32 +123,33 @@ def q_long() -> str:
     return f"WITH {derived_cte()},\n{long_cte()}\nSELECT * FROM long"
 
 
-def _ignore_values() -> tuple[str, str, str]:
-    rules = layout.ignore_rules()
-    sf = [f"{s}_{f}" for s, f in sorted(rules.seg_fields)]
-    ck = set()
-    for (s, f), dt in rules.datatypes.items():
-        ck.update(f"{s}_{f}_{c}" for d, c in rules.components if d == dt)
-    ck.update(f"{s}_{f}_{c}" for s, f, c, r in rules.names if r is None)
-    rk = [f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if r is not None]
-
-    def values(keys):
-        return "VALUES " + ", ".join(f"('{k}')" for k in sorted(keys))
-    return values(sf), values(ck), values(rk)
+def _values(keys) -> str:
+    return "VALUES " + ", ".join(f"('{k}')" for k in sorted(set(keys)))
 
 
 def q_ignore_lists() -> str:
-    sf, ck, rk = _ignore_values()
     return f"""WITH {derived_cte()},
 {long_cte()},
-ig_field(k) AS ({sf}),
-ig_comp(k) AS ({ck}),
-ig_rep(k) AS ({rk})
+ig_field(k) AS ({_values(IGNORED_FIELDS)}),
+ig_comp(k) AS ({_values(IGNORED_PLACES)})
 SELECT * FROM long l
 WHERE NOT EXISTS (SELECT 1 FROM ig_field g WHERE g.k = l.seg || '_' || l.field)
-  AND NOT EXISTS (SELECT 1 FROM ig_comp g WHERE g.k = l.seg || '_' || l.field || '_' || l.comp)
-  AND NOT EXISTS (SELECT 1 FROM ig_rep g
-                  WHERE g.k = l.seg || '_' || l.field || '_' || l.comp || '_' || l.rep)"""
+  AND NOT EXISTS (SELECT 1 FROM ig_comp g WHERE g.k = l.seg || '_' || l.field || '_' || l.comp)"""
+
+
+def q_full_messages() -> str:
+    """No parsing: each place of a full message holds a text of its own."""
+    parts = []
+    for name, place in PLACES.items():
+        seg, _, at = place.partition("-")
+        f, c = at.split(".")
+        value = f"'{seg} {f} {c} ' || CAST(o_orderkey AS VARCHAR)"
+        if place == "pid-11.4":     # the state; where it is blank the first repetition stands
+            value = ("CASE c_nationkey % 6 WHEN 0 THEN 'CA' WHEN 1 THEN 'OR' WHEN 2 THEN 'WA' "
+                     "WHEN 3 THEN 'NY' WHEN 4 THEN 'UT' ELSE 'NV' END")
+        parts.append(f"{value} AS {_q(name)}")
+    return ("SELECT CAST(o_custkey AS VARCHAR) AS patientid, CAST(o_orderkey AS VARCHAR) AS id,\n  "
+            + ",\n  ".join(parts) + f"\nFROM orders JOIN customer ON o_custkey = c_custkey WHERE {FULL_RULE}")
 
 
 LAST_REP_COLUMNS = ("pt_address_st_1", "pt_address_city", "pt_address_state_prov",
@@ -162,64 +169,62 @@ def q_numbered() -> str:
             f"{wide_select(keep=('patientid', 'id'), numbered=True)}")
 
 
+def _mapped_keys() -> set[str]:
+    return {p.replace("-", "_").replace(".", "_") for p in PLACES.values()}
+
+
+_EXTRAS_BODY = """SELECT patientid, id, seg || '_' || field || '_' || comp AS key, arg_max(value, rep) AS value
+FROM long l
+WHERE NOT EXISTS (SELECT 1 FROM ex_field g WHERE g.k = l.seg || '_' || l.field)
+  AND NOT EXISTS (SELECT 1 FROM ex_key g WHERE g.k = l.seg || '_' || l.field || '_' || l.comp)
+GROUP BY patientid, id, seg, field, comp"""
+
+
 def q_extras() -> str:
-    rules = layout.ignore_rules()
-    fields, keys = [], []
-    for s in SEGMENTS:
-        ef, ek = extras_exclusions(s, rules)
-        fields += [f"{s}_{f}" for f in ef]
-        keys += ek
-    fv = "VALUES " + ", ".join(f"('{k}')" for k in sorted(set(fields)))
-    kv = "VALUES " + ", ".join(f"('{k}')" for k in sorted(set(keys)))
     return f"""WITH {derived_cte()},
 {long_cte()},
-ex_field(k) AS ({fv}),
-ex_key(k) AS ({kv})
-SELECT patientid, id, seg || '_' || field || '_' || comp AS key, arg_max(value, rep) AS value
+ex_field(k) AS ({_values(IGNORED_FIELDS)}),
+ex_key(k) AS ({_values(_mapped_keys() | set(IGNORED_PLACES))})
+{_EXTRAS_BODY}"""
+
+
+def q_numbered_extras() -> str:
+    """Unmapped places as before; of mapped ones, repetitions without a name."""
+    keys = (_mapped_keys() | set(NUMBERED)) - set(IGNORED_PLACES)
+    taken = {f"{k}_{r}" for k in keys for r in NUMBERED.get(k, [1])}
+    taken |= {f"{s}_{f}_{c}_{r}" for s, f, c, r in layout.ignore_rules().names if r is not None}
+    return f"""WITH {derived_cte()},
+{long_cte()},
+ex_field(k) AS ({_values(IGNORED_FIELDS)}),
+ex_key(k) AS ({_values(_mapped_keys() | set(NUMBERED) | set(IGNORED_PLACES))}),
+mapped(k) AS ({_values(keys)}),
+taken(k) AS ({_values(taken)})
+{_EXTRAS_BODY}
+UNION ALL
+SELECT patientid, id, seg || '_' || field || '_' || comp || '_' || rep AS key, value
 FROM long l
 WHERE NOT EXISTS (SELECT 1 FROM ex_field g WHERE g.k = l.seg || '_' || l.field)
-  AND NOT EXISTS (SELECT 1 FROM ex_key g WHERE g.k = l.seg || '_' || l.field || '_' || l.comp)
-GROUP BY patientid, id, seg, field, comp"""
+  AND EXISTS (SELECT 1 FROM mapped g WHERE g.k = l.seg || '_' || l.field || '_' || l.comp)
+  AND NOT EXISTS (SELECT 1 FROM taken g WHERE g.k = l.seg || '_' || l.field || '_' || l.comp || '_' || l.rep)"""
 
 
 # Columns the derived messages populate (mapped names and extras keys): the
 # observed-widening oracle is a fixed SELECT of exactly these.
-OBSERVED_MAPPED = (
-    "pt_allergy_allergen_type_code_1", "pt_allergy_allergen_code_identifier",
-    "pt_allergy_allergen_code_text_1", "pt_allergy_allergen_code_system",
-    "pt_allergy_severity_code_identifier", "pt_allergy_reaction_code_identifier",
-    "pt_allergy_date",
-    "pt_diag_coding_method_id", "pt_diag_code_identifier", "pt_diag_code_text_1",
-    "pt_diag_description_1", "pt_diag_date_time", "pt_diag_type_1",
-    "pt_event_recorded_date_time_1", "pt_event_reason_code", "pt_opr_assigning_facility_1",
-    "pt_event_operator_id_num_1", "pt_event_operator_last_name", "pt_event_operator_first_name",
-    "pt_opr_assigning_auth_1", "pt_event_occur_date_time", "pt_event_facil_namespace_id",
-    "pt_event_facil_universal_id", "pt_event_facil_universal_id_type",
-    "pt_insurance_plan_id", "pt_insurance_plan_id_text", "pt_insurance_company_id",
-    "pt_insurance_co_id_check_digit", "pt_insurance_company_name",
-    "pt_insurance_company_add_street", "pt_insurance_company_add_city",
-    "pt_insurance_company_add_state_prov", "pt_insurance_company_add_zip_postal",
-    "pt_insurance_company_add_phone_num", "pt_insurance_group_num", "pt_insurance_group_name",
-    "pt_address_st_1", "pt_address_city", "pt_address_state_prov", "pt_address_zip_postal",
-    "pt_address_country", "pt_address_type", "pt_county_parish",
-    "pt_contact_phone_number_1", "pt_email",
-    "pt_last_name", "pt_first_name", "pt_dob", "pt_gender",
-    "pt_class", "pt_loc_poc_1", "pt_loc_facility_1", "pt_visit_number", "pt_admit_date_1",
-)
+OBSERVED_MAPPED = tuple(PLACES)
 OBSERVED_EXTRAS = (
     "dg1_3_3", "in1_5_2", "nk1_1_1", "nk1_2_1", "nk1_2_2", "nk1_3_1", "nk1_4_1", "nk1_4_3",
-    "nk1_4_4", "nk1_5_1", "pid_6_1", "pid_6_2",
+    "nk1_4_4", "nk1_5_1", "pid_11_2", "pid_20_1", "pid_25_1", "pid_3_2", "pid_6_1", "pid_6_2", "pv1_9_1",
 )
 
 
 def q_observed_wide() -> str:
-    by_name = {c.name: c for c in layout.wide_columns()}
     names = sorted(set(OBSERVED_MAPPED) | set(OBSERVED_EXTRAS))
     parts = ["patientid", "dob"]
     for n in names:
-        if n in by_name:
-            p = by_name[n].pos
-            parts.append(f"{_last(f'f_{p.segment}[{p.field + 1}]', p.component)} AS {_q(n)}")
+        if n in PLACES:
+            seg, _, at = PLACES[n].partition("-")
+            f, c = at.split(".")
+            parts.append(f"{_last(f'f_{seg}[{int(f) + 1}]', int(c))} AS {_q(n)}")
         else:
             s, f, c = n.split("_")
             parts.append(f"{_last(f'f_{s}[{int(f) + 1}]', int(c))} AS {_q(n)}")
@@ -245,6 +250,22 @@ FROM env
 WHERE evn LIKE '%|REG\\_P|%' ESCAPE '\\' OR pv1 = 'PV1' OR (pid IS NULL AND pv1 IS NOT NULL)"""
 
 
+_DAMAGE = """CASE WHEN evn LIKE '%|REG\\_P|%' ESCAPE '\\' THEN 'invalid json'
+            WHEN pv1 = 'PV1' THEN 'no patientId'
+            WHEN pid IS NULL AND pv1 IS NOT NULL THEN 'segment PID holds PV1' END"""
+
+
+def q_dead_letter_good() -> str:
+    cols = ", ".join(_q(c.lower()) for c in ENV_COLS)
+    return f"WITH {derived_cte(dedupe=False)}\nSELECT {cols} FROM env WHERE ({_DAMAGE}) IS NULL"
+
+
+def q_stream_dead_letter() -> str:
+    return f"""WITH {derived_cte(dedupe=False)},
+tagged AS (SELECT id, {_DAMAGE} AS reason FROM env)
+SELECT CASE WHEN reason IS NULL THEN 'good' ELSE 'dead' END AS kind, id, reason FROM tagged"""
+
+
 def _updated_ts(col: str = "updatedat") -> str:
     return (f"coalesce(try_strptime({col}, '%Y-%m-%d %H:%M:%S'), "
             f"try_strptime({col}, '%Y-%m-%d %H:%M'))")
@@ -304,6 +325,53 @@ w2 AS ({wide_select(source='s2')})
 SELECT * FROM w1 UNION ALL BY NAME SELECT * FROM w2"""
 
 
+ARCHIVE_YEAR = 1996
+
+
+def q_archive_written() -> str:
+    ts = _updated_ts()
+    return f"""WITH {derived_cte(dedupe=False)}
+SELECT id, evn, CAST(year({ts}) AS INTEGER) AS y, CAST(month({ts}) AS INTEGER) AS m, CAST(day({ts}) AS INTEGER) AS d
+FROM env WHERE year({ts}) = {ARCHIVE_YEAR}"""
+
+
+def q_empty_result() -> str:
+    return (f"WITH {derived_cte(dedupe=False)}\nSELECT count(*) AS messages, CAST(0 AS BIGINT) AS tables_written, "
+            "false AS folder_written FROM env")
+
+
+def q_feed_tables() -> str:
+    states = ", ".join(f"'{s}'" for s in layout.STATES)
+    names = ", ".join(f"('{v}')" for v in ("v4_acme", "v4_road_runner"))
+    return (f"WITH {derived_cte()},\n{split_cte()},\nwide AS ({wide_select()}),\ntables(table_name) AS (VALUES {names})\n"
+            f"SELECT wide.*, table_name FROM wide, tables WHERE pt_address_state_prov IN ({states})")
+
+
+def q_catchup_segments() -> str:
+    """Blob segments in message order: the earlier DG1 and OBX come first."""
+    unions = []
+    for s in SEGMENTS:
+        earlier = ""
+        if s in ("dg1", "obx"):
+            sid = s.upper()
+            unions.append(f"SELECT patientid, id, '{s}' AS seg, 1 AS occurrence, string_split('{sid}|0|EARLIER|E' || id || "
+                          f"'^FIRST~SECOND', '|') AS fields FROM env WHERE {s} IS NOT NULL")
+            earlier = "2"
+        unions.append(f"SELECT patientid, id, '{s}' AS seg, {earlier or 1} AS occurrence, {_fields(s)} AS fields FROM env")
+    body = "\n  UNION ALL ".join(unions)
+    return f"""WITH {derived_cte()},
+segs AS ({body}),
+fld AS (SELECT patientid, id, seg, occurrence, fields, unnest(generate_series(2, len(fields))) AS fi
+        FROM segs WHERE fields IS NOT NULL),
+rp AS (SELECT patientid, id, seg, occurrence, fi - 1 AS field, string_split(fields[fi], '~') AS reps FROM fld),
+rp2 AS (SELECT *, unnest(generate_series(1, len(reps))) AS rep FROM rp),
+cp AS (SELECT patientid, id, seg, occurrence, field, rep, string_split(reps[rep], '^') AS comps FROM rp2),
+cp2 AS (SELECT *, unnest(generate_series(1, len(comps))) AS comp FROM cp)
+SELECT patientid, id, seg, CAST(occurrence AS INTEGER) AS occurrence, CAST(field AS INTEGER) AS field,
+       CAST(rep AS INTEGER) AS rep, CAST(comp AS INTEGER) AS comp, comps[comp] AS value
+FROM cp2 WHERE trim(comps[comp]) <> ''"""
+
+
 def q_archive() -> str:
     ts = _updated_ts()
     return f"""WITH {derived_cte(dedupe=False)}
@@ -312,8 +380,7 @@ SELECT id, CAST(year({ts}) AS INTEGER) AS y, CAST(month({ts}) AS INTEGER) AS m,
 FROM env"""
 
 
-INFERRED_COLUMNS = ("al1", "createdat", "dg1", "dob", "evn", "id", "in1", "msh", "nk1", "patientid",
-                    "pid", "pv1", "tenantid", "updatedat", "visitnumber")
+INFERRED_COLUMNS = tuple(c.lower() for c in ENV_COLS)
 
 
 def q_declared_schema() -> str:
@@ -338,12 +405,16 @@ def queries() -> dict[str, str]:
         "adt_ignore_lists": q_ignore_lists(),
         "adt_last_repetition": q_last_repetition(),
         "adt_numbered_repetitions": q_numbered(),
+        "adt_full_messages": q_full_messages(),
+        "adt_numbered_extras": q_numbered_extras(),
         "adt_extras": q_extras(),
         "adt_extras_map": q_extras(),
         "adt_observed_wide": q_observed_wide(),
         "adt_truncate_names": q_truncate_names(),
         "adt_document_scan": q_document_scan(),
         "adt_dead_letter": q_dead_letter(),
+        "adt_dead_letter_good": q_dead_letter_good(),
+        "adt_stream_dead_letter": q_stream_dead_letter(),
         "adt_latest_patient": q_latest_patient(),
         "adt_new_referrals": q_new_referrals(),
         "adt_feed_count": q_feed_count_full(),
@@ -352,6 +423,12 @@ def queries() -> dict[str, str]:
         "adt_stream_latest": q_latest_patient(),
         "adt_json_scan": q_dedupe(),
         "adt_json_inferred": q_inferred(),
+        "adt_json_documents": q_dedupe(),
+        "adt_catchup_segments": q_catchup_segments(),
+        "adt_feed_tables": q_feed_tables(),
+        "adt_evolving_append": q_schema_evolution(),
+        "adt_archive_written": q_archive_written(),
+        "adt_empty_result": q_empty_result(),
         "adt_declared_schema": q_declared_schema(),
         "adt_message_table": q_dedupe(),
         "adt_catchup_blob": q_dedupe(),

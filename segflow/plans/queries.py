@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from segflow import session
 from segflow.operators import deadletter, extract, filters, patients, shape
 from segflow.plans import etl
-from segflow.plans.oracle import (DECLARED_SEGMENTS, EVOLUTION_CUTOFF, FEEDS, LAST_REP_COLUMNS,
+from segflow.plans.oracle import (ARCHIVE_YEAR, DECLARED_SEGMENTS, EVOLUTION_CUTOFF, FEEDS, LAST_REP_COLUMNS,
                                   REFERRAL_CUTOFF)
 from segflow.sinks import tables
 from segflow.sources import derived, envelope
@@ -58,6 +58,18 @@ def adt_numbered_repetitions(spark, sf_dir):
     return extract.flatten_wide(_envelopes(spark, sf_dir), keep=("patientid", "id"), numbered=True)
 
 
+def adt_full_messages(spark, sf_dir):
+    """Full messages only: every mapped column, checked without any parsing."""
+    full = _envelopes(spark, sf_dir).where("CAST(id AS BIGINT) % 10 = 4")
+    return extract.flatten_wide(full, keep=("patientid", "id"))
+
+
+def adt_numbered_extras(spark, sf_dir):
+    """X13 + X11: in numbered mode, repetitions without a name reach `extras`."""
+    wide = extract.flatten_wide(_envelopes(spark, sf_dir), keep=("patientid", "id"), numbered=True, extras=True)
+    return extract.extras_long(wide, keep=("patientid", "id"))
+
+
 def adt_extras(spark, sf_dir):
     return extract.extras_rows(_envelopes(spark, sf_dir))
 
@@ -81,7 +93,9 @@ def adt_document_scan(spark, sf_dir):
     return shape.lower_case_names(envelope.scan_documents(docs, prefix="pid_"))
 
 
-def adt_dead_letter(spark, sf_dir):
+def _damaged_documents(spark, sf_dir):
+    """(key, json) documents of which some have a foreign PID segment, no
+    patient, or text that is no JSON."""
     env = derived.derived_envelopes(spark, sf_dir)
     key = F.when(F.col("tenantId") == "5-LOW", F.concat(F.lit("other_"), F.col("id"))) \
         .otherwise(F.concat(F.lit("pid_"), F.col("patientId"), F.lit("_"), F.col("id")))
@@ -90,13 +104,36 @@ def adt_dead_letter(spark, sf_dir):
         .withColumn("patientId", F.when(F.col("PV1") == "PV1", F.lit(None))
                     .otherwise(F.col("patientId")))
     body = F.to_json(F.struct(*[F.col(c) for c in env.columns]))
-    docs = damaged.select(F.col("_key").alias("key"), F.when(F.col("EVN").contains("|REG_P|"),
+    return damaged.select(F.col("_key").alias("key"), F.when(F.col("EVN").contains("|REG_P|"),
                                                    F.concat(F.lit("<"), body)).otherwise(body)
                           .alias("json"))
-    _, dead = deadletter.route_dead_letters(docs)
+
+
+def adt_dead_letter(spark, sf_dir):
+    _, dead = deadletter.route_dead_letters(_damaged_documents(spark, sf_dir))
     return dead.select("key", "reason")
 
 
+def adt_dead_letter_good(spark, sf_dir):
+    good, _ = deadletter.route_dead_letters(_damaged_documents(spark, sf_dir))
+    return shape.lower_case_names(good)
+
+
+def adt_stream_dead_letter(spark, sf_dir):
+    """W1 + K5: damaged documents arrive as files; every message is either in the
+    stream's rows or among its dead letters."""
+    from segflow.streaming.stream import start_patient_stream
+
+    src, out, ckpt = (session.work_path(spark, n) for n in ("dead-in", "dead-out", "dead-ckpt"))
+    _damaged_documents(spark, sf_dir).select("json").write.text(src)
+    start_patient_stream(spark, src, out, ckpt, states=None, dedupe=False, keep=("patientid", "id"),
+                         dead_path=f"{out}_dead").awaitTermination()
+    good = spark.read.parquet(out).select(F.lit("good").alias("kind"), "id", F.lit(None).cast("string").alias("reason"))
+    text_id = F.regexp_extract("_corrupt_record", '"id":"([0-9]+)"', 1)
+    dead = spark.read.parquet(f"{out}_dead").select(F.lit("dead").alias("kind"), F.coalesce("id", text_id).alias("id"), "reason")
+    return good.unionByName(dead)
+
+
 def adt_latest_patient(spark, sf_dir):
     # No dedupe first: a max is unchanged by exact duplicates, so the
     # per-patient aggregate is the only shuffle.
@@ -130,13 +167,31 @@ def adt_schema_evolution(spark, sf_dir):
     return tables.union_evolving([early, late])
 
 
+def _numeric(env: DataFrame) -> DataFrame:
+    """As feeds write them: `id` and `patientId` are JSON numbers."""
+    return env.withColumn("id", F.col("id").cast("bigint")).withColumn("patientId", F.col("patientId").cast("bigint"))
+
+
 def _json_dir(spark, sf_dir) -> str:
     """Derived envelopes written once as JSON lines under the shared folder."""
     path = session.work_path(spark, "json")
-    derived.derived_envelopes(spark, sf_dir).write.mode("overwrite").json(path)
+    _numeric(derived.derived_envelopes(spark, sf_dir)).write.mode("overwrite").json(path)
     return path
 
 
+def adt_json_documents(spark, sf_dir):
+    """S1 on files that hold one JSON document over many lines each (here an array
+    of up to 500 envelopes)."""
+    path = session.work_path(spark, "json-documents")
+    env = _numeric(derived.derived_envelopes(spark, sf_dir))
+    text = F.to_json(F.struct(*[F.col(c) for c in env.columns]), {"pretty": "true"})
+    files = env.groupBy(F.expr("id div 500").alias("file")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(text), ",\n"), F.lit("\n]")).alias("value"))
+    files.repartition("file").write.partitionBy("file").text(path)
+    env = envelope.read_json_envelopes(spark, f"{path}/*/", multiline=True)
+    return shape.lower_case_names(env)
+
+
 def adt_json_scan(spark, sf_dir):
     path = _json_dir(spark, sf_dir)
     return shape.lower_case_names(envelope.read_json_envelopes(spark, path, multiline=False))
@@ -166,12 +221,70 @@ def adt_message_table(spark, sf_dir):
     return shape.lower_case_names(envelope.read_message_table(messages))
 
 
+def _blob_rows(spark, sf_dir):
+    """Relational rows with a raw blob; messages with a DG1 or OBX segment carry
+    an earlier one of the same id."""
+    env = derived.derived_envelopes(spark, sf_dir)
+    texts = []
+    for s in ["MSH"] + list(envelope.SUPERSET_SEGMENTS):
+        if s in ("DG1", "OBX"):
+            texts.append(F.when(F.col(s).isNotNull(), F.concat(F.lit(f"{s}|0|EARLIER|E"), F.col("id"), F.lit("^FIRST~SECOND"))))
+        texts.append(F.col(s))
+    return env.select(*envelope.METADATA, F.encode(F.concat_ws("\r", *texts), "UTF-8").alias("hl7"))
+
+
 def adt_catchup_blob(spark, sf_dir):
+    rows = envelope.segments_from_blob(_blob_rows(spark, sf_dir)).drop("repeated")
+    return shape.lower_case_names(rows.dropDuplicates())
+
+
+def adt_catchup_segments(spark, sf_dir):
+    """S6 + X12: every segment of every blob, repeated ones too, in long form."""
+    rows = _blob_rows(spark, sf_dir).dropDuplicates()
+    segs = shape.lower_case_names(envelope.blob_segments(rows, meta=("patientId", "id")))
+    return extract.occurrences_long(segs, keep=("patientid", "id"))
+
+
+def adt_feed_tables(spark, sf_dir):
+    """K1 + K3: the whole job writes one table per feed; all are read back."""
+    path = session.work_path(spark, "feeds")
+    etl.run_feeds_parquet(derived.derived_envelopes(spark, sf_dir), FEEDS, path)
+    return spark.read.parquet(path)
+
+
+def adt_evolving_append(spark, sf_dir):
+    """K2: two appends to one table, the second with more columns, read as one."""
+    path = session.work_path(spark, "evolving")
+    env = _envelopes(spark, sf_dir)
+    early_flag = patients.parse_updated("updatedat") < patients.wall_clock(EVOLUTION_CUTOFF)
+    tables.append_parquet(extract.flatten_wide(env.where(early_flag), segments=DECLARED_SEGMENTS), path)
+    tables.append_parquet(extract.flatten_wide(env.where(~early_flag | early_flag.isNull())), path)
+    return tables.read_evolving(spark, path)
+
+
+def adt_archive_written(spark, sf_dir):
+    """K4 + S5: the archive written by date, then one year of it read by prefix."""
+    path = session.work_path(spark, "archive")
+    tables.write_archive(derived.derived_envelopes(spark, sf_dir), path)
+    rows = tables.read_archive(spark, path, str(ARCHIVE_YEAR))
+    return rows.select(F.get_json_object("value", "$.id").alias("id"),
+                       F.get_json_object("value", "$.EVN").alias("evn"), "y", "m", "d")
+
+
+def adt_empty_result(spark, sf_dir):
+    """a job whose filter keeps nothing writes no table."""
+    from pyspark.errors import AnalysisException
+
+    path = session.work_path(spark, "empty")
     env = derived.derived_envelopes(spark, sf_dir)
-    segs = ["MSH"] + list(envelope.SUPERSET_SEGMENTS)
-    rows = env.select(*envelope.METADATA,
-                      F.encode(F.concat_ws("\r", *[F.col(s) for s in segs]), "UTF-8").alias("hl7"))
-    return shape.lower_case_names(envelope.segments_from_blob(rows).dropDuplicates())
+    written = etl.run_feeds_parquet(env, FEEDS, path, states=("ZZ",))
+    try:
+        spark.read.parquet(path)
+        there = True
+    except AnalysisException:
+        there = False
+    return env.agg(F.count(F.lit(1)).alias("messages")).select(
+        "messages", F.lit(len(written)).cast("bigint").alias("tables_written"), F.lit(there).alias("folder_written"))
 
 
 def adt_archive_prefix(spark, sf_dir):
@@ -217,12 +330,16 @@ QUERIES = {
     "adt_ignore_lists": adt_ignore_lists,
     "adt_last_repetition": adt_last_repetition,
     "adt_numbered_repetitions": adt_numbered_repetitions,
+    "adt_full_messages": adt_full_messages,
+    "adt_numbered_extras": adt_numbered_extras,
     "adt_extras": adt_extras,
     "adt_extras_map": adt_extras_map,
     "adt_observed_wide": adt_observed_wide,
     "adt_truncate_names": adt_truncate_names,
     "adt_document_scan": adt_document_scan,
     "adt_dead_letter": adt_dead_letter,
+    "adt_dead_letter_good": adt_dead_letter_good,
+    "adt_stream_dead_letter": adt_stream_dead_letter,
     "adt_latest_patient": adt_latest_patient,
     "adt_new_referrals": adt_new_referrals,
     "adt_feed_count": adt_feed_count,
@@ -230,10 +347,16 @@ QUERIES = {
     "adt_stream_flatten": adt_stream_flatten,
     "adt_stream_latest": adt_stream_latest,
     "adt_json_scan": adt_json_scan,
+    "adt_json_documents": adt_json_documents,
     "adt_json_inferred": adt_json_inferred,
     "adt_declared_schema": adt_declared_schema,
     "adt_message_table": adt_message_table,
     "adt_catchup_blob": adt_catchup_blob,
+    "adt_catchup_segments": adt_catchup_segments,
+    "adt_feed_tables": adt_feed_tables,
+    "adt_evolving_append": adt_evolving_append,
+    "adt_archive_written": adt_archive_written,
+    "adt_empty_result": adt_empty_result,
     "adt_archive_prefix": adt_archive_prefix,
     "adt_state_filter_sql": adt_state_filter_sql,
 }

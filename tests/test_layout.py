@@ -69,9 +69,22 @@ def test_truncated_name_and_table_name():
 
 
 def test_cluster_settings_scale():
-    from segflow.session import cluster_settings
+    from segflow.session import cluster_settings, shuffle_blocks
 
     small = cluster_settings(10 << 20)
     big = cluster_settings(100 << 40)                   # 100 TB
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 20_000
+    # One bit a block of map status must fit a driver.
+    assert shuffle_blocks(100 << 40, big) / 8 < 300 << 20
+
+
+def test_no_private_folder_on_a_cluster():
+    import pytest
+
+    from segflow.session import require_local
+
+    require_local("local[8]")
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            require_local(master)

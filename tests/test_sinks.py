@@ -103,6 +103,50 @@ def test_blob_segments_last_wins(spark):
     assert (r.PID, r.OBX, r.PV1, r.EVN) == ("PID|1||a", "OBX|2|B", "PV1", None)
 
 
+def test_blob_keeps_repeated_segments(spark):
+    rows = spark.createDataFrame([("1", "MSH|x\rDG1|1|a\rOBX|1|A\rDG1|2|b\rDG1|3|c^d"), ("2", None), ("3", "")],
+                                 "patientId string, hl7 string")
+    r = {x.patientId: x for x in envelope.segments_from_blob(rows, meta=("patientId",)).collect()}
+    assert r["1"].DG1 == "DG1|3|c^d" and r["2"].DG1 is None and r["3"].DG1 is None
+    assert [tuple(x) for x in r["1"].repeated] == [("dg1", 1, "DG1|1|a"), ("dg1", 2, "DG1|2|b")]
+    got = sorted((x.seg, x.occurrence, x.text) for x in envelope.blob_segments(rows, meta=("patientId",)).collect())
+    assert got == [("dg1", 1, "DG1|1|a"), ("dg1", 2, "DG1|2|b"), ("dg1", 3, "DG1|3|c^d"), ("obx", 1, "OBX|1|A")]
+
+
+BAD = ["{not json", '{"patientId": "7"', "[]", "17", '"text"', "{}", "null", '{"unknown": 1}']
+
+
+def test_no_empty_envelope_leaves_a_reader(spark, tmp_dir):
+    good = json.dumps({"patientId": 5, "PID": "PID|1"})
+    path = os.path.join(tmp_dir, "lines.json")
+    with open(path, "w") as f:
+        f.write("\n".join([good, *BAD]))
+    for schema in (envelope.ENVELOPE, None):
+        ok, dead = envelope.read_json_routed(spark, path, schema, multiline=False)
+        assert [r.patientId for r in ok.collect()] == ["5"] or schema is None
+        assert all(any(v is not None for v in r) for r in ok.collect())
+    docs = spark.createDataFrame([(f"pid_{i}", t) for i, t in enumerate([good, *BAD, None])], "key string, json string")
+    ok, dead = envelope.scan_documents_routed(docs)
+    assert [r.patientId for r in ok.collect()] == ["5"] and dead.count() == len(BAD) + 1
+    ok, dead = envelope.read_message_table_routed(docs, "json")
+    assert [r.patientId for r in ok.collect()] == ["5"] and dead.count() == len(BAD) + 1
+
+
+def test_feeds_write_dead_letters_beside_the_tables(spark, tmp_dir):
+    rows = [("1", "PID|1||||A^B||||||1 RD^^C^CA^1"), (None, "PID|1||||C"), ("3", "PV1|||X")]
+    env = spark.createDataFrame(rows, "patientId string, PID string").withColumn("dob", F.lit(None).cast("string"))
+    path = os.path.join(tmp_dir, "feeds")
+    assert etl.run_feeds_parquet(env, ["acme"], path) == {"v4_acme": 1}
+    assert sorted(r.reason for r in spark.read.parquet(path + "_dead").collect()) == ["no patientId", "segment PID holds PV1"]
+
+
+def test_only_a_missing_table_is_created():
+    assert tables.missing_table(RuntimeError('ERROR: relation "v4_roles" does not exist; SQLState 42P01'))
+    assert not tables.missing_table(RuntimeError('FATAL: role "etl" does not exist'))
+    assert not tables.missing_table(RuntimeError('FATAL: database "x" does not exist'))
+    assert not tables.missing_table(RuntimeError("Connection refused"))
+
+
 def test_message_table_both_encodings(spark):
     body = json.dumps({"patientId": "1", "PID": "PID|1"})
     df = spark.createDataFrame([(body,), (json.dumps(body),)], "patientjson string")
