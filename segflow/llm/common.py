@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that a cut has replaced.
+
+    Spark removes them when the driver's garbage is collected, which otherwise
+    may be long after the next step has filled the disks.  The first round makes
+    the Python side give up its handles, the second frees what they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
+
+
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, text) under fixed names, null text as empty; other columns go.
 

@@ -9,7 +9,7 @@ common anchor inside the window.
 1. Anchors: 7-word hashes at cover positions; those that a second document has
    are shared.
 2. Extension: in documents with shared anchors, every 13-word window around one
-   gets a 128-bit hash of its words.  A window goes if the least document that
+   gets a 96-bit hash of its words.  A window goes if the least document that
    has it is another, smaller one.
 3. Words covered by windows that go are removed.
 
@@ -30,7 +30,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import texts
+from segflow.llm.common import cut, release, texts
 from segflow.llm.textops import U, chunks, mix
 
 WINDOW = 13
@@ -72,12 +72,15 @@ def _send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         head[1:] = h[1:] != h[:-1]
         group = np.cumsum(head) - 1
         many = np.bincount(group, minlength=1)[group] > 1
-        look = head                                         # the least document speaks for its batch
+        # The least document speaks for its batch; rows go out by document, so
+        # that the ids of neighbouring rows compress away.
+        look = np.flatnonzero(head)
+        look = look[np.argsort(key[look], kind="stable")]
         own = np.flatnonzero(many)
         own = own[np.argsort(key[own], kind="stable")]
         docs, n_each = np.unique(key[own], return_counts=True)
         known = _lists(len(docs), np.repeat(np.arange(len(docs)), n_each), h[own].view(np.int64), pa.int64())
-        n = int(look.sum())
+        n = len(look)
         yield pa.RecordBatch.from_arrays(
             [pa.array(h[look].view(np.int64)), pa.array(key[look], pa.int64()), pa.nulls(n, pa.list_(pa.int64()))],
             names=["h", "doc_id", "known"])
@@ -107,6 +110,7 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             first = w.first[doc[hit]] + pos[hit]
             at, w1 = w.windows(WINDOW)
             _, w2 = w.windows(WINDOW, salt=0x5851F42D4C957F2D)
+            w2 = (w2 >> U(32)).astype(np.uint32)
             # Windows that hold a shared anchor start at most PERIOD - 1 before it.
             near = np.zeros(len(w.hash) + 1, np.int32)
             np.add.at(near, np.maximum(first - PERIOD + 1, 0), 1)
@@ -121,17 +125,18 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         head = np.ones(len(w1), bool)
         head[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
         least = key[np.flatnonzero(head)][np.cumsum(head) - 1] if len(key) else key
-        mine = key == least
-        gone = np.flatnonzero(~mine)
+        mine = np.flatnonzero(key == least)
+        mine = mine[np.lexsort((at[mine], key[mine]))]      # by document, as above
+        gone = np.flatnonzero(key != least)
         gone = gone[np.lexsort((at[gone], key[gone]))]
         docs, n_each = np.unique(key[gone], return_counts=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(w1[mine].view(np.int64)), pa.array(w2[mine].view(np.int64)), pa.array(key[mine], pa.int64()),
-             pa.array(at[mine], pa.int32()), pa.nulls(int(mine.sum()), pa.list_(pa.int32()))],
+            [pa.array(w1[mine].view(np.int64)), pa.array(w2[mine].view(np.int32)), pa.array(key[mine], pa.int64()),
+             pa.array(at[mine], pa.int32()), pa.nulls(len(mine), pa.list_(pa.int32()))],
             names=["w1", "w2", "doc_id", "at", "gone"])
         if len(docs):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(mix(docs.astype(np.int64).view(U), 78).view(np.int64)), pa.array(docs, pa.int64()),
+                [pa.array(mix(docs.astype(np.int64).view(U), 78).view(np.int64)), pa.nulls(len(docs), pa.int32()),
                  pa.array(docs, pa.int64()), pa.nulls(len(docs), pa.int32()),
                  _lists(len(docs), np.repeat(np.arange(len(docs)), n_each), at[gone], pa.int32())],
                 names=["w1", "w2", "doc_id", "at", "gone"])
@@ -179,14 +184,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = texts(docs, id_col, text_col)
     sent = src.where("doc_id IS NOT NULL").mapInArrow(_send_anchors, "h long, doc_id long, known array<long>")
     by_anchor = Window.partitionBy("h")
-    shared = (sent.withColumn("lo", F.min("doc_id").over(by_anchor)).withColumn("hi", F.max("doc_id").over(by_anchor))
-              .where("known IS NOT NULL OR lo < hi")
-              .select("doc_id", F.coalesce("known", F.array("h")).alias("hs"))
-              .groupBy("doc_id").agg(F.flatten(F.collect_list("hs")).alias("shared")))
+    shared = cut(sent.withColumn("lo", F.min("doc_id").over(by_anchor)).withColumn("hi", F.max("doc_id").over(by_anchor))
+                 .where("known IS NOT NULL OR lo < hi")
+                 .select("doc_id", F.coalesce("known", F.array("h")).alias("hs"))
+                 .groupBy("doc_id").agg(F.flatten(F.collect_list("hs")).alias("shared")))
+    del sent
+    release(docs.sparkSession)
     # Both joins below shuffle texts by doc_id in one and the same way, so the
     # exchange is made once and used twice.
     marked = src.join(shared, "doc_id", "left")
-    windows = marked.mapInArrow(_send_windows, "w1 long, w2 long, doc_id long, at int, gone array<int>")
+    windows = marked.mapInArrow(_send_windows, "w1 long, w2 int, doc_id long, at int, gone array<int>")
     by_window = Window.partitionBy("w1", "w2")
     gone = (windows.withColumn("lo", F.min("doc_id").over(by_window))
             .where("gone IS NOT NULL OR lo < doc_id")
