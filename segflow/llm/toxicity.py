@@ -40,6 +40,7 @@ STEM_LENGTHS = (4, 5, 6, 7)
 STEM_WORDS = 4              # distinct words under a stem
 FUZZY_FROM = 5              # letters from which one edit is allowed
 FUZZY_PRECISION = 0.8
+FUZZY_SHARE = 0.8           # evidence of a near miss, as a share of the term's
 WINDOW = 10                 # words on either side of a hit
 KNOWN_WORDS = 200_000       # word results kept per Python worker
 KNOWN_ARCS = 500_000        # determinised transitions kept per Python worker
@@ -148,15 +149,21 @@ class Lexicon:
         return best
 
 
+N_FEATURES = 5
+
+
 def _features(lexicon: Lexicon, evidence: dict[str, float], text: str) -> list[float]:
-    """Evidence of the strongest term hit by kind: exact, exact quoted, near, near quoted;
-    most hits in one window; second-person words near hits; share of hits."""
+    """Evidence of the strongest hit, plain and quoted; most hits in one window;
+    second-person words near hits; share of hits.
+
+    A near miss counts as FUZZY_SHARE of its term: labels seldom hold enough of
+    them to learn more than whether clean texts hold them too (exact_only)."""
     low = text.lower()
     words = _WORD.findall(low)
     hits = {w: m for w in set(words) if (m := lexicon.match(w)) is not None}
     if not hits:
-        return [0.0] * 7
-    kinds: list[set[str]] = [set(), set(), set(), set()]
+        return [0.0] * N_FEATURES
+    best = [0.0, 0.0]
     places, you = [], 0
     spans = list(_WORD.finditer(low))
     for i, m in enumerate(spans):
@@ -172,10 +179,10 @@ def _features(lexicon: Lexicon, evidence: dict[str, float], text: str) -> list[f
                   or (max(before.rfind(c) for c in OPENING) > max(before.rfind(c) for c in CLOSING)
                       and any(c in after for c in CLOSING))
                   or not REPORTING.isdisjoint(words[max(0, i - 3): i]))
-        kinds[2 * (hit[1] > 0) + quoted].add(hit[0])
+        weight = evidence[hit[0]] * (FUZZY_SHARE if hit[1] else 1.0)
+        best[quoted] = max(best[quoted], weight)
         you += not SECOND_PERSON.isdisjoint(near)
     together = max(sum(1 for q in places[k: k + 2 * WINDOW] if q - p <= 2 * WINDOW) for k, p in enumerate(places))
-    best = [max((evidence[t] for t in kind), default=0.0) for kind in kinds]
     return [*best, math.log1p(together), math.log1p(you), len(places) / len(words)]
 
 
@@ -205,7 +212,7 @@ class Toxicity:
         return Lexicon(list(self.evidence), self.exact_only)
 
     def scores(self, lexicon: Lexicon, values: list[str]) -> np.ndarray:
-        x = np.array([_features(lexicon, self.evidence, t) for t in values]).reshape(-1, 7)
+        x = np.array([_features(lexicon, self.evidence, t) for t in values]).reshape(-1, N_FEATURES)
         z = x @ self.weights[:-1] + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
@@ -310,7 +317,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     table = (sample.mapInArrow(features, "x array<double>, label int")
              .groupBy("x", "label").agg(F.count(F.lit(1)).alias("n")).collect())
     if not any(r.label == 1 for r in table):
-        return Toxicity({}, set(), np.array([0.0] * 7 + [-4.0]))
+        return Toxicity({}, set(), np.array([0.0] * N_FEATURES + [-4.0]))
     x = np.array([r.x for r in table])
     y = np.array([float(r.label) for r in table])
     n = np.array([r.n for r in table])
