@@ -91,8 +91,9 @@ def _send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (w1, w2, doc_id, at, gone): a window to be looked up, or (gone not
-    null) starts of windows that a smaller document of the batch has."""
+    """Rows (w1, w2, doc_id, at, starts): a window to be looked up and where it
+    starts (starts, if the document has it more than once); or (w2 null) starts
+    of windows that a smaller document of the batch has."""
     for b in batches:
         b = b.filter(pa.compute.is_valid(b.column("shared")))
         if not b.num_rows:
@@ -125,7 +126,10 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         head = np.ones(len(w1), bool)
         head[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
         least = key[np.flatnonzero(head)][np.cumsum(head) - 1] if len(key) else key
+        group = np.cumsum(head) - 1
         mine = np.flatnonzero(key == least)
+        often = np.bincount(group[mine], minlength=1)[group[mine]] > 1
+        again, mine = mine[often], mine[~often]
         mine = mine[np.lexsort((at[mine], key[mine]))]      # by document, as above
         gone = np.flatnonzero(key != least)
         gone = gone[np.lexsort((at[gone], key[gone]))]
@@ -133,13 +137,21 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(
             [pa.array(w1[mine].view(np.int64)), pa.array(w2[mine].view(np.int32)), pa.array(key[mine], pa.int64()),
              pa.array(at[mine], pa.int32()), pa.nulls(len(mine), pa.list_(pa.int32()))],
-            names=["w1", "w2", "doc_id", "at", "gone"])
+            names=["w1", "w2", "doc_id", "at", "starts"])
+        if len(again):
+            groups, place, each = np.unique(group[again], return_index=True, return_counts=True)
+            one = again[place]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w1[one].view(np.int64)), pa.array(w2[one].view(np.int32)), pa.array(key[one], pa.int64()),
+                 pa.nulls(len(one), pa.int32()),
+                 _lists(len(one), np.repeat(np.arange(len(one)), each), at[again], pa.int32())],
+                names=["w1", "w2", "doc_id", "at", "starts"])
         if len(docs):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(mix(docs.astype(np.int64).view(U), 78).view(np.int64)), pa.nulls(len(docs), pa.int32()),
                  pa.array(docs, pa.int64()), pa.nulls(len(docs), pa.int32()),
                  _lists(len(docs), np.repeat(np.arange(len(docs)), n_each), at[gone], pa.int32())],
-                names=["w1", "w2", "doc_id", "at", "gone"])
+                names=["w1", "w2", "doc_id", "at", "starts"])
 
 
 def _strip(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -193,11 +205,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Both joins below shuffle texts by doc_id in one and the same way, so the
     # exchange is made once and used twice.
     marked = src.join(shared, "doc_id", "left")
-    windows = marked.mapInArrow(_send_windows, "w1 long, w2 int, doc_id long, at int, gone array<int>")
+    windows = marked.mapInArrow(_send_windows, "w1 long, w2 int, doc_id long, at int, starts array<int>")
     by_window = Window.partitionBy("w1", "w2")
     gone = (windows.withColumn("lo", F.min("doc_id").over(by_window))
-            .where("gone IS NOT NULL OR lo < doc_id")
-            .select("doc_id", F.coalesce("gone", F.array("at")).alias("at"))
+            .where("w2 IS NULL OR lo < doc_id")
+            .select("doc_id", F.coalesce("starts", F.array("at")).alias("at"))
             .groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("gone")))
     return src.join(gone, "doc_id", "left").mapInArrow(
         lambda batches: _strip(batches, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string"

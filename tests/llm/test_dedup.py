@@ -106,6 +106,12 @@ def test_substring_every_shift(spark):
     assert got[1] == 0 and all(got[10 + a] == 13 for a in range(8))
 
 
+def test_substring_repeats_inside_one_document(spark):
+    rows = [(5, "a b " * 60), (3, "a b " * 9), (9, "x " + "a b " * 40 + "y"), (1, "c " * 20), (2, "c " * 13)]
+    got = substring_dedup(frame(spark, rows)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute.strip_repeats(rows))
+
+
 def test_substring_text(spark):
     rows = [(1, "a b c d e f g h i j k l m"), (2, "pre a b c d e f g h i j k l m post")]
     got = {r.doc_id: r.kept_text for r in substring_dedup(frame(spark, rows), with_text=True).collect()}
