@@ -58,13 +58,14 @@ def _send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     not null) the anchors of a document that the batch itself shows to be shared."""
     for b in batches:
         ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-        parts = [(d + w.lo, h) for w in chunks(b.column("text")) for d, _, h in [_anchors(w)]]
+        parts = [((d + w.lo).astype(np.int32), h) for w in chunks(b.column("text")) for d, _, h in [_anchors(w)]]
         if not parts:
             continue
-        doc, h = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        key = ids[doc]
+        key, h = ids[np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts])
+        del parts
         order = np.lexsort((key, h))
         h, key = h[order], key[order]
+        del order
         fresh = np.ones(len(h), bool)                       # one row an anchor and document
         fresh[1:] = (h[1:] != h[:-1]) | (key[1:] != key[:-1])
         h, key = h[fresh], key[fresh]
@@ -119,10 +120,12 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             use = np.cumsum(near)[at] > 0
             at, w1, w2 = at[use], w1[use], w2[use]
             own = w.doc_of_word()[at]
-            parts.append((w1, w2, ids[own + w.lo], at - w.first[own]))
+            parts.append((w1, w2, ids[own + w.lo], (at - w.first[own]).astype(np.int32)))
         w1, w2, key, at = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        del parts
         order = np.lexsort((at, key, w2, w1))
         w1, w2, key, at = w1[order], w2[order], key[order], at[order]
+        del order
         head = np.ones(len(w1), bool)
         head[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
         least = key[np.flatnonzero(head)][np.cumsum(head) - 1] if len(key) else key
