@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from segflow.llm.common import texts
+from segflow.llm.common import arrow_map, texts, worker_models
 
 END = "</w>"
 CACHED_WORDS = 200_000     # words kept per Python worker
@@ -230,13 +230,11 @@ class WordBpe:
         return " ".join(map(self.labels.__getitem__, ids))
 
 
-_MODELS: dict[str, WordBpe] = {}
-
-
 def word_bpe(path: str) -> WordBpe:
-    if path not in _MODELS:
-        _MODELS[path] = WordBpe(path)
-    return _MODELS[path]
+    models = worker_models("bpe")
+    if path not in models:
+        models[path] = WordBpe(path)
+    return models[path]
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -279,5 +277,6 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return texts(docs, id_col, text_col).mapInArrow(
-        run, schema + ", ids array<int>" * with_ids + ", decoded string" * with_text)
+    return arrow_map(
+        texts(docs, id_col, text_col), "bpe", run,
+        schema + ", ids array<int>" * with_ids + ", decoded string" * with_text)

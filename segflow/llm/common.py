@@ -8,6 +8,9 @@ import tempfile
 import time
 import zipfile
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,36 @@ def ship(spark: SparkSession) -> None:
     sc._segflow_sent = True
 
 
+_OWNER: str | None = None
+_MODELS: dict = {}
+
+
+def worker_models(owner: str) -> dict:
+    """Models that a Python worker keeps for the next tasks of one operator.
+
+    Workers are reused; when another operator's task starts in one, what the
+    operator before it kept is dropped, so that idle models take no memory.
+    """
+    global _OWNER
+    if _OWNER != owner:
+        _MODELS.clear()
+        _OWNER = owner
+    return _MODELS
+
+
+def arrow_map(df: DataFrame, owner: str, function: Callable, schema) -> DataFrame:
+    """mapInArrow for operator `owner`; a worker gives back Arrow's spare memory
+    after each task."""
+    def run(batches):
+        worker_models(owner)
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; read by Spark only, so any store Spark reaches works."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import cut, texts
+from segflow.llm.common import arrow_map, cut, texts
 from segflow.llm.components import components
 from segflow.llm.textops import U, Words, chunks, mix
 
@@ -162,7 +162,8 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int
     if bands * rows > 128:
         raise ValueError("at most 128 slots")
     src = texts(docs, id_col, text_col)
-    sig = cut(src.mapInArrow(lambda batches: _signatures(batches, bands, rows), "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
+    sig = cut(arrow_map(src, "near", lambda batches: _signatures(batches, bands, rows),
+                        "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
     of_class = ["n_shingles", "d1", "d2"]
     full = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut(full.groupBy(*of_class).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")))
@@ -183,7 +184,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int
     # Full sets of the documents that met another one.
     wanted = met.select(F.col("rep").alias("doc_id")).distinct()
     found = src.join(wanted, "doc_id", "left_semi")
-    sets = cut(found.mapInArrow(_sets, "id long, els array<long>"))
+    sets = cut(arrow_map(found, "near", _sets, "id long, els array<long>"))
     links = cut(_verified(pairs, sets, percent))
     labels = components(links, "a", "b")
 

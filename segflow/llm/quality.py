@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import bounded_sample, texts
+from segflow.llm.common import arrow_map, bounded_sample, texts
 
 SAMPLE_ROWS = 20_000        # labelled training rows used at most
 BINS, PAIR_BINS = 32, 8
@@ -185,7 +185,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
                 [b.column("doc_id"), pa.array(b.column("label").cast(pa.float64())),
                  pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    rows = sorted(sample.mapInArrow(run, "doc_id long, y double, x array<double>").collect())
+    rows = sorted(arrow_map(sample, "quality", run, "doc_id long, y double, x array<double>").collect())
     return QualityModel(np.array([r.x for r in rows]).reshape(-1, len(FEATURES)), np.array([r.y for r in rows]))
 
 
@@ -202,4 +202,4 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())],
                                              names=["doc_id", "score"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return arrow_map(texts(docs, id_col, text_col), "quality", run, "doc_id long, score double")

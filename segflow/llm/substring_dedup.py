@@ -30,7 +30,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import cut, release, texts
+from segflow.llm.common import arrow_map, cut, release, texts
 from segflow.llm.textops import U, chunks, mix
 
 WINDOW = 13
@@ -197,7 +197,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the same words); an empty table gives no rows; extra columns are not read.
     """
     src = texts(docs, id_col, text_col)
-    sent = src.where("doc_id IS NOT NULL").mapInArrow(_send_anchors, "h long, doc_id long, known array<long>")
+    sent = arrow_map(src.where("doc_id IS NOT NULL"), "substring", _send_anchors, "h long, doc_id long, known array<long>")
     by_anchor = Window.partitionBy("h")
     shared = cut(sent.withColumn("lo", F.min("doc_id").over(by_anchor)).withColumn("hi", F.max("doc_id").over(by_anchor))
                  .where("known IS NOT NULL OR lo < hi")
@@ -208,12 +208,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Both joins below shuffle texts by doc_id in one and the same way, so the
     # exchange is made once and used twice.
     marked = src.join(shared, "doc_id", "left")
-    windows = marked.mapInArrow(_send_windows, "w1 long, w2 int, doc_id long, at int, starts array<int>")
+    windows = arrow_map(marked, "substring", _send_windows, "w1 long, w2 int, doc_id long, at int, starts array<int>")
     by_window = Window.partitionBy("w1", "w2")
     gone = (windows.withColumn("lo", F.min("doc_id").over(by_window))
             .where("w2 IS NULL OR lo < doc_id")
             .select("doc_id", F.coalesce("starts", F.array("at")).alias("at"))
             .groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("gone")))
-    return src.join(gone, "doc_id", "left").mapInArrow(
-        lambda batches: _strip(batches, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    return arrow_map(
+        src.join(gone, "doc_id", "left"), "substring", lambda batches: _strip(batches, with_text),
+        "doc_id long, n_words long, n_removed long, kept_sha256 string"
         + (", kept_text string" if with_text else ""))

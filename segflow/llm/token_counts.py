@@ -19,25 +19,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import texts
+from segflow.llm.common import arrow_map, texts, worker_models
 
 MARK = "▁"
 PIECE_CHARS = 20_000       # texts longer than this are cut
 GROUP_CHARS = 400_000      # characters handed to the library at once
 
-_MODELS: dict[str, tuple[object, bool]] = {}
-
-
 def _model(path: str):
-    if path not in _MODELS:
+    models = worker_models("pieces")
+    if path not in models:
         import sentencepiece
 
         m = sentencepiece.SentencePieceProcessor(model_file=path)
         clean = all(MARK not in m.id_to_piece(i).lstrip(MARK) for i in range(m.get_piece_size()))
         # Cutting also relies on white space reaching the model unchanged.
         plain = m.encode(f"a  b {MARK}c\n d", out_type=str) and m.decode(m.encode("a  b\n c")) == "a  b\n c"
-        _MODELS[path] = (m, bool(clean and plain))
-    return _MODELS[path]
+        models[path] = (m, bool(clean and plain))
+    return models[path]
 
 
 def safe_pieces(text: str, size: int = PIECE_CHARS) -> list[str]:
@@ -103,5 +101,5 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
 
     src = texts(docs, id_col, text_col).select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    out = src.mapInArrow(encode, "doc_id long, n_bytes long, n_tokens long")
+    out = arrow_map(src, "pieces", encode, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

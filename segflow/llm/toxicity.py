@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import bounded_sample, cut, ship, texts
+from segflow.llm.common import arrow_map, bounded_sample, cut, ship, texts
 
 SAMPLE_ROWS = 20_000        # labelled training rows used at most
 LEXICON_TERMS = 5_000       # terms kept at most
@@ -42,8 +42,8 @@ FUZZY_FROM = 5              # letters from which one edit is allowed
 FUZZY_PRECISION = 0.8
 FUZZY_SHARE = 0.8           # evidence of a near miss, as a share of the term's
 WINDOW = 10                 # words on either side of a hit
-KNOWN_WORDS = 200_000       # word results kept per Python worker
-KNOWN_ARCS = 500_000        # determinised transitions kept per Python worker
+KNOWN_WORDS = 150_000       # word results kept per Python worker
+KNOWN_ARCS = 200_000        # determinised transitions kept per Python worker
 
 # Cue words of the context window.
 REPORTING = {"said", "says", "called", "calls", "quote", "quoted", "wrote", "word", "term", "slur", "insult",
@@ -250,7 +250,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     chosen = bounded_sample(labels, sample_rows)        # bounded, so it may be broadcast
     sample = cut(texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
                  .select("text", F.col("label").cast("int").alias("label")))
-    mined = (sample.where("label = 1").select("text").mapInArrow(_mine, "term string, word string, around long")
+    mined = (arrow_map(sample.where("label = 1").select("text"), "toxicity", _mine, "term string, word string, around long")
              .groupBy("term").agg(F.countDistinct("around").alias("p"), F.countDistinct("word").alias("words"))
              .where(F.col("p") >= MIN_SUPPORT)
              .orderBy(F.desc("p"), "term").limit(CANDIDATES).collect())
@@ -269,8 +269,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                 yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64())],
                                                  names=["term", "n"])
 
-    clean = {r.term: r.n for r in sample.where("label = 0").select("text")
-             .mapInArrow(count_clean, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    clean = {r.term: r.n for r in
+             arrow_map(sample.where("label = 0").select("text"), "toxicity", count_clean, "term string, n long")
+             .groupBy("term").agg(F.sum("n").alias("n")).collect()}
     good = sorted((t for t, (p, words) in mined.items()
                    if p / (p + clean.get(t, 0)) >= MIN_PRECISION and (t not in stems or words >= STEM_WORDS)),
                   key=lambda t: (t not in stems, len(t), t))
@@ -300,7 +301,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                      pa.array(list(n.values()), pa.int64())], names=["term", "label", "n"])
 
     seen: dict[str, list[int]] = {}
-    for r in (sample.mapInArrow(near, "term string, label int, n long")
+    for r in (arrow_map(sample, "toxicity", near, "term string, label int, n long")
               .groupBy("term", "label").agg(F.sum("n").alias("n")).collect()):
         seen.setdefault(r.term, [0, 0])[r.label] += r.n
     exact_only = {t for t, (clean_n, toxic_n) in seen.items()
@@ -314,7 +315,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                                              names=["x", "label"])
 
     # One row for each different feature vector, with its count.
-    table = (sample.mapInArrow(features, "x array<double>, label int")
+    table = (arrow_map(sample, "toxicity", features, "x array<double>, label int")
              .groupBy("x", "label").agg(F.count(F.lit(1)).alias("n")).collect())
     if not any(r.label == 1 for r in table):
         return Toxicity({}, set(), np.array([0.0] * N_FEATURES + [-4.0]))
@@ -338,7 +339,7 @@ def score_toxicity(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())],
                                              names=["doc_id", "score"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return arrow_map(texts(docs, id_col, text_col), "toxicity", run, "doc_id long, score double")
 
 
 def drop_toxic(docs: DataFrame, model: Toxicity, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
@@ -356,4 +357,4 @@ def drop_toxic(docs: DataFrame, model: Toxicity, threshold: float = 0.7, text_co
             yield b.filter(pa.array(model.scores(lexicon, values) < threshold))
 
     ship(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return arrow_map(docs, "toxicity", run, docs.schema)
