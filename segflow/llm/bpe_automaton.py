@@ -36,9 +36,9 @@ from pyspark.sql import DataFrame
 from segflow.llm.common import arrow_map, texts, worker_models
 
 END = "</w>"
-CACHED_WORDS = 200_000     # words kept per Python worker
+CACHED_WORDS = 600_000     # words kept per Python worker
 CACHED_LENGTH = 64         # longer words are encoded anew each time
-TABLE_ARCS = 2_000_000     # resolved arcs kept per Python worker
+TABLE_ARCS = 1_000_000     # resolved arcs kept per Python worker
 NEVER = 1 << 30
 
 
@@ -172,7 +172,6 @@ class WordBpe:
         self.late = re.compile("[\u0530-\U0010ffff]").search
         self.unsettled = re.compile(unsettled).search
         self.path, self.library = path, None
-        self.spaces = regex.compile(r"\p{White_Space}+")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
         label = self.automaton.label | {i: s for s, i in self.special.items()}
@@ -197,8 +196,8 @@ class WordBpe:
             return self._by_library(text)
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        text = self.spaces.sub(" ", text)
-        # Letter by letter, as the file's library does: no final-sigma rule.
+        # White space of any kind only divides words, so it need not be unified
+        # first.  Letter by letter, as the file's library does: no final-sigma rule.
         text = text.replace("Σ", "σ").lower()
         words = self.find(text)
         cache = self.cache
