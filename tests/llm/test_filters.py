@@ -212,3 +212,34 @@ def test_quality(spark):
     blank = fit_quality(frame(spark, rows), labels.limit(0))
     assert score_quality(frame(spark, rows), blank).count() == len(rows)
     assert features("") == [0.0] * len(FEATURES) and len(features(long_text(100))) == len(FEATURES)
+
+
+def test_decontamination_of_short_items(spark):
+    """Every pattern of allowed substitutions, and items under nine words verbatim."""
+    from itertools import combinations
+
+    items = [(n, " ".join(f"q{n}w{k}" for k in range(n))) for n in (1, 2, 5, 8, 9, 10, 11, 12, 15, 20)]
+    rows = []
+    for n, text in items:
+        spare = n // 5 if n >= 9 else 0
+        for gone in combinations(range(n), spare):
+            if n >= 15 and len(rows) % 3 and any(b - a != 1 for a, b in zip(gone, gone[1:])):
+                continue
+            w = ["other" if k in gone else x for k, x in enumerate(text.split(" "))]
+            rows.append((1000 * len(rows) + n, "some words before " + " ".join(w) + " and after"))
+    missing = [(-n, " ".join(t.split(" ")[:-1]) + " something else") for n, t in items if n < 9]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r["items"] for r in find_contaminated(frame(spark, rows + missing), bench).collect()}
+    assert got == {i: str(i % 1000) for i, _ in rows}
+
+
+def test_masks_and_pieces_leave_no_pattern():
+    from itertools import combinations
+
+    from segflow.llm.decontaminate import MASKS, REACH, SPAN, _pieces
+
+    for n in range(SPAN, REACH + 1):
+        shapes = [tuple(p + o for o in m) for m in MASKS for p in range(n - m[-1])]
+        shapes += [tuple(range(a, a + size)) for a, size in _pieces(n, 0.8, REACH)]
+        for gone in combinations(range(n), n // 5):
+            assert any(not set(s) & set(gone) for s in shapes), (n, gone)
