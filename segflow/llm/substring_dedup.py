@@ -11,7 +11,9 @@ common anchor inside the window.
 2. Extension: in documents with shared anchors, every 13-word window around one
    gets a 96-bit hash of its words.  A window goes if the least document that
    has it is another, smaller one.
-3. Words covered by windows that go are removed.
+3. Words covered by windows that go are removed.  Where an id stands on
+   different texts, starts of windows carry a row key (a hash of the text)
+   beside it; elsewhere the key is 0 and takes no room in the shuffle.
 
 Before rows are shuffled, every task folds the repeats it sees itself: for an
 anchor or window that several documents of a batch share, the answer for all but
@@ -92,7 +94,7 @@ def _send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (w1, w2, doc_id, at, starts): a window to be looked up and where it
+    """Rows (w1, w2, doc_id, row, at, starts): a window to be looked up and where it
     starts (starts, if the document has it more than once); or (w2 null) starts
     of windows that a smaller document of the batch has."""
     for b in batches:
@@ -100,6 +102,7 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not b.num_rows:
             continue
         ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+        rows = np.where(b.column("many").to_numpy(zero_copy_only=False), b.column("row").to_numpy(zero_copy_only=False), 0)
         shared = b.column("shared")
         flat, offs = shared.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(shared).to_numpy())])
         parts = []
@@ -120,52 +123,61 @@ def _send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             use = np.cumsum(near)[at] > 0
             at, w1, w2 = at[use], w1[use], w2[use]
             own = w.doc_of_word()[at]
-            parts.append((w1, w2, ids[own + w.lo], (at - w.first[own]).astype(np.int32)))
-        w1, w2, key, at = (np.concatenate([p[i] for p in parts]) for i in range(4))
+            parts.append((w1, w2, ids[own + w.lo], rows[own + w.lo], (at - w.first[own]).astype(np.int32)))
+        w1, w2, key, row, at = (np.concatenate([p[i] for p in parts]) for i in range(5))
         del parts
-        order = np.lexsort((at, key, w2, w1))
-        w1, w2, key, at = w1[order], w2[order], key[order], at[order]
+        order = np.lexsort((at, row, key, w2, w1))
+        w1, w2, key, row, at = w1[order], w2[order], key[order], row[order], at[order]
         del order
         head = np.ones(len(w1), bool)
         head[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
         least = key[np.flatnonzero(head)][np.cumsum(head) - 1] if len(key) else key
-        group = np.cumsum(head) - 1
         mine = np.flatnonzero(key == least)
+        # One row a window and text, also where the texts share their id.
+        turn = np.ones(len(w1), bool)
+        turn[1:] = head[1:] | (key[1:] != key[:-1]) | (row[1:] != row[:-1])
+        group = np.cumsum(turn) - 1
         often = np.bincount(group[mine], minlength=1)[group[mine]] > 1
         again, mine = mine[often], mine[~often]
-        mine = mine[np.lexsort((at[mine], key[mine]))]      # by document, as above
+        mine = mine[np.lexsort((at[mine], row[mine], key[mine]))]      # by document, as above
         gone = np.flatnonzero(key != least)
-        gone = gone[np.lexsort((at[gone], key[gone]))]
-        docs, n_each = np.unique(key[gone], return_counts=True)
+        gone = gone[np.lexsort((at[gone], row[gone], key[gone]))]
+        new = np.ones(len(gone), bool)
+        new[1:] = (key[gone[1:]] != key[gone[:-1]]) | (row[gone[1:]] != row[gone[:-1]])
+        place = np.flatnonzero(new)
+        docs, doc_rows, n_each = key[gone[place]], row[gone[place]], np.diff(np.append(place, len(gone)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(w1[mine].view(np.int64)), pa.array(w2[mine].view(np.int32)), pa.array(key[mine], pa.int64()),
-             pa.array(at[mine], pa.int32()), pa.nulls(len(mine), pa.list_(pa.int32()))],
-            names=["w1", "w2", "doc_id", "at", "starts"])
+             pa.array(row[mine], pa.int64()), pa.array(at[mine], pa.int32()), pa.nulls(len(mine), pa.list_(pa.int32()))],
+            names=["w1", "w2", "doc_id", "row", "at", "starts"])
         if len(again):
             groups, place, each = np.unique(group[again], return_index=True, return_counts=True)
             one = again[place]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(w1[one].view(np.int64)), pa.array(w2[one].view(np.int32)), pa.array(key[one], pa.int64()),
-                 pa.nulls(len(one), pa.int32()),
+                 pa.array(row[one], pa.int64()), pa.nulls(len(one), pa.int32()),
                  _lists(len(one), np.repeat(np.arange(len(one)), each), at[again], pa.int32())],
-                names=["w1", "w2", "doc_id", "at", "starts"])
+                names=["w1", "w2", "doc_id", "row", "at", "starts"])
         if len(docs):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(mix(docs.astype(np.int64).view(U), 78).view(np.int64)), pa.nulls(len(docs), pa.int32()),
-                 pa.array(docs, pa.int64()), pa.nulls(len(docs), pa.int32()),
+                 pa.array(docs, pa.int64()), pa.array(doc_rows, pa.int64()), pa.nulls(len(docs), pa.int32()),
                  _lists(len(docs), np.repeat(np.arange(len(docs)), n_each), at[gone], pa.int32())],
-                names=["w1", "w2", "doc_id", "at", "starts"])
+                names=["w1", "w2", "doc_id", "row", "at", "starts"])
 
 
 def _strip(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n_words, n_removed, sha, kept_text = [], [], [], []
-        for text, gone in zip(b.column("text"), b.column("gone")):
+        for text, row, gone, by_row in zip(*(b.column(c) for c in ("text", "row", "gone", "by_row"))):
             words = text.as_py().encode("utf-8").split()
             kept = words
             if gone.is_valid:
                 cover = np.zeros(len(words) + 1, np.int32)
                 starts = gone.values.to_numpy()
+                if len(by_row.values):                      # the id stands on other texts too
+                    keys, lists = by_row.values.flatten()
+                    starts = lists.filter(pa.compute.equal(keys, row)).flatten().to_numpy()
                 np.add.at(cover, starts, 1)
                 np.add.at(cover, starts + WINDOW, -1)
                 stay = np.cumsum(cover)[:-1] == 0
@@ -192,28 +204,31 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words covers it that also starts in a document with a smaller doc_id; windows
     are judged on the input.  Defined cases: null text has no words; documents
     of fewer than 13 words lose nothing; a null id neither loses words nor counts
-    as a source; rows repeated with one id are no sources for each other, lose
-    the windows that either of them loses at the same place (identical rows:
-    the same words); an empty table gives no rows; extra columns are not read.
+    as a source; rows that share an id are no sources for each other, and each
+    loses what a smaller id has of its own text; an empty table gives no rows; extra columns are not read.
     """
-    src = texts(docs, id_col, text_col)
+    src = texts(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
     sent = arrow_map(src.where("doc_id IS NOT NULL"), "substring", _send_anchors, "h long, doc_id long, known array<long>")
     by_anchor = Window.partitionBy("h")
+    # Ids that stand on different texts, with no anchors of their own.
+    many = (src.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("row").alias("lo"), F.max("row").alias("hi"))
+            .where("lo < hi").select("doc_id", F.expr("CAST(array() AS array<bigint>)").alias("hs"), F.lit(True).alias("many")))
     shared = cut(sent.withColumn("lo", F.min("doc_id").over(by_anchor)).withColumn("hi", F.max("doc_id").over(by_anchor))
                  .where("known IS NOT NULL OR lo < hi")
-                 .select("doc_id", F.coalesce("known", F.array("h")).alias("hs"))
-                 .groupBy("doc_id").agg(F.flatten(F.collect_list("hs")).alias("shared")))
+                 .select("doc_id", F.coalesce("known", F.array("h")).alias("hs"), F.lit(False).alias("many")).union(many)
+                 .groupBy("doc_id").agg(F.flatten(F.collect_list("hs")).alias("shared"), F.max("many").alias("many")))
     del sent
     release(docs.sparkSession)
     # Both joins below shuffle texts by doc_id in one and the same way, so the
-    # exchange is made once and used twice.
-    marked = src.join(shared, "doc_id", "left")
-    windows = arrow_map(marked, "substring", _send_windows, "w1 long, w2 int, doc_id long, at int, starts array<int>")
+    # exchange is made once and used twice; rows of one id pick theirs by row key.
+    marked = src.join(shared, "doc_id", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    windows = arrow_map(marked, "substring", _send_windows, "w1 long, w2 int, doc_id long, row long, at int, starts array<int>")
     by_window = Window.partitionBy("w1", "w2")
     gone = (windows.withColumn("lo", F.min("doc_id").over(by_window))
             .where("w2 IS NULL OR lo < doc_id")
-            .select("doc_id", F.coalesce("starts", F.array("at")).alias("at"))
-            .groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("gone")))
+            .select("doc_id", "row", F.coalesce("starts", F.array("at")).alias("at"))
+            .groupBy("doc_id").agg(F.flatten(F.collect_list(F.expr("IF(row = 0, at, NULL)"))).alias("gone"),
+                                   F.collect_list(F.expr("IF(row = 0, NULL, struct(row, at))")).alias("by_row")))
     return arrow_map(
         src.join(gone, "doc_id", "left"), "substring", lambda batches: _strip(batches, with_text),
         "doc_id long, n_words long, n_removed long, kept_sha256 string"

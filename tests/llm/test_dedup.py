@@ -116,3 +116,13 @@ def test_substring_text(spark):
     rows = [(1, "a b c d e f g h i j k l m"), (2, "pre a b c d e f g h i j k l m post")]
     got = {r.doc_id: r.kept_text for r in substring_dedup(frame(spark, rows), with_text=True).collect()}
     assert got[2] == "pre post"
+
+
+def test_substring_of_one_id_on_two_texts(spark):
+    shared = [f"s{k}" for k in range(30)]
+    lone, short = [f"l{k}" for k in range(60)], [f"t{k}" for k in range(15)]
+    rows = [(1, " ".join(shared)), (2, " ".join(lone[:25] + shared + lone[25:])), (2, " ".join(short)),
+            (2, " ".join(lone)), (2, " ".join(short + shared[:14])), (2, " ".join(shared)), (2, " ".join(shared)),
+            (3, " ".join(short + short)), (3, " ".join(lone[:13]) + " x " + " ".join(lone[:13]))]
+    got = substring_dedup(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.strip_repeats(rows))
