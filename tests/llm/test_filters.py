@@ -243,3 +243,30 @@ def test_masks_and_pieces_leave_no_pattern():
         shapes += [tuple(range(a, a + size)) for a, size in _pieces(n, 0.8, REACH)]
         for gone in combinations(range(n), n // 5):
             assert any(not set(s) & set(gone) for s in shapes), (n, gone)
+
+
+def test_random_tokens_of_every_encoding_are_found(spark):
+    from segflow.llm import secret_scan as module
+
+    rnd = random.Random(4)
+    lower, digits = module.LOWER, module.DIGITS
+    encodings = {"lower": lower, "upper": lower.upper(), "base32": lower.upper() + "234567", "base36": lower + digits,
+                 "hex": digits + "ABCDEF"}
+    doc = " ".join(p.read_text() for p in sorted(__import__("pathlib").Path(module.__file__).parent.glob("*.py")))
+    words = sorted({w for w in __import__("re").findall("[a-z]{3,9}", doc)})
+    rows, kinds = [(0, doc)], {}
+    for name, alphabet in encodings.items():
+        for size in (20, 24, 32, 48, 64):
+            for _ in range(20):
+                kinds[len(rows)] = (name, size)
+                rows.append((len(rows), "see " + "".join(rnd.choice(alphabet) for _ in range(size)) + " here"))
+    plain = len(rows)
+    for _ in range(2000):
+        w = "".join(rnd.choice(words) for _ in range(6))[:rnd.randint(20, 40)].ljust(20, "e")
+        rows.append((len(rows), f"see {w.upper() if rnd.random() < 0.3 else w} here"))
+    got = {r.doc_id: r.n_random for r in secret_scan(frame(spark, rows)).collect()}
+    found = {}
+    for i, kind in kinds.items():
+        found[kind] = found.get(kind, 0) + got[i]
+    assert all(n >= 15 for n in found.values()), found
+    assert sum(got[i] for i in range(plain, len(rows))) <= 0.03 * sum(found.values())
