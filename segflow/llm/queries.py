@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segflow.llm.bpe_automaton import encode_decode
-from segflow.llm.common import table
+from segflow.llm.common import sha_hex, table
 from segflow.llm.decontaminate import find_contaminated
 from segflow.llm.exact_dedup import exact_dedup
+from segflow.llm.fill_middle import fill_in_middle, restore
+from segflow.llm.lexical_search import lexical_search
+from segflow.llm.line_dedup import line_dedup
 from segflow.llm.near_dedup import near_dedup
 from segflow.llm.quality import fit_quality, score_quality
 from segflow.llm.secret_scan import secret_scan
@@ -86,6 +89,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha_hex(F.col("output")).alias("output_sha256"),
+                       sha_hex(restore(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", sha_hex(F.col("text")).alias("kept_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_url_filters": op2_url_filters,
@@ -97,4 +115,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }

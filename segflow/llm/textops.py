@@ -100,10 +100,11 @@ class Words:
         return mix(np.sum(mix(self.hash[a:b]) * power[: b - a], dtype=U, keepdims=True), int(b - a))
 
 
-def chunks(column: pa.Array, lower: bool = False, seed: int = 1) -> Iterator[Words]:
+def chunks(column: pa.Array, lower: bool = False, seed: int = 1, breaks: np.ndarray = _SPACE) -> Iterator[Words]:
     """Words of a string column without nulls, in chunks of about CHUNK_BYTES.
 
     A document is never divided; one longer than a chunk is a chunk by itself.
+    `breaks` marks the byte values that separate words (white space by default).
     """
     column = column.cast(pa.large_string())
     n = len(column)
@@ -118,13 +119,14 @@ def chunks(column: pa.Array, lower: bool = False, seed: int = 1) -> Iterator[Wor
         hi = int(np.searchsorted(offs, offs[lo] + CHUNK_BYTES, "right")) - 1
         hi = min(n, max(lo + 1, hi))
         data = whole[offs[lo]: offs[hi]]
-        yield _words(lo, hi - lo, _LOWER[data] if lower else data, offs[lo: hi + 1] - offs[lo], values)
+        yield _words(lo, hi - lo, _LOWER[data] if lower else data, offs[lo: hi + 1] - offs[lo], values, breaks)
         lo = hi
 
 
-def _words(lo: int, n_docs: int, data: np.ndarray, offs: np.ndarray, values: np.ndarray) -> Words:
+def _words(lo: int, n_docs: int, data: np.ndarray, offs: np.ndarray, values: np.ndarray,
+           breaks: np.ndarray = _SPACE) -> Words:
     n = len(data)
-    inside = ~_SPACE[data]
+    inside = ~breaks[data]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     if n:
         before[1:], after[:-1] = inside[:-1], inside[1:]
