@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from segflow import layout
 from segflow.operators import deadletter, extract, filters, shape
-from segflow.session import checkpoint_dir
+from segflow.session import written
 from segflow.sinks import tables
+from segflow.sinks.commitlog import CommitLog
 
 
 def prepared(envelopes: DataFrame, dedupe: bool = True) -> DataFrame:
@@ -62,51 +63,60 @@ def patient_rows(envelopes: DataFrame,
     return filters.keep_states(wide, states) if states is not None and kept is None else wide
 
 
-def _routed_rows(envelopes: DataFrame, opts: dict) -> tuple[DataFrame, DataFrame]:
-    """(rows of good envelopes under database names, cut; dead letters)."""
-    good, dead = deadletter.route_envelopes(envelopes)
-    rows = shape.truncate_names(patient_rows(good, **opts))
-    checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint(eager=True), dead
-
-
 def run_feeds_jdbc(envelopes: DataFrame, feeds: Iterable[str], url: str, properties: dict,
                    version: str = layout.TABLE_VERSION, evolve_ddl=None,
                    dead_table: str | None = None, **opts) -> dict[str, int]:
     """K1-K3, K5 for a relational sink: flatten once, append to one table per feed.
 
-    Dead envelopes go to `dead_table` (by default `<version>_dead_letters`).
-    The flattened rows are checkpointed into the shared checkpoint folder
-    (reliable, survives executor loss) so each feed's write reads them back
-    instead of re-running the scan and dedupe.  An empty result skips the
-    writes (F2).  Names are truncated for the database (P5).
+    The source is read and parsed once: tagged envelopes are written to the shared
+    folder, and both the good and the dead ones are taken from there.  Dead envelopes
+    go to `dead_table` (by default `<version>_dead_letters`).  The flattened rows are
+    written there too, so each feed's write reads them back instead of running the
+    dedupe again.  An empty result skips the writes (F2).  Names are truncated for
+    the database (P5).
     """
-    rows, dead = _routed_rows(envelopes, opts)
-    if filters.has_rows(dead):
-        tables.append_jdbc(dead, url, dead_table or f"{version}_dead_letters", properties)
-    if not filters.has_rows(rows):
-        return {}
-    written = {}
-    for feed in feeds:
-        table = layout.table_name(feed, version)
-        if evolve_ddl is not None:
-            written[table] = tables.append_jdbc_evolving(rows, url, table, properties, evolve_ddl)
-        else:
-            written[table] = tables.append_jdbc(rows, url, table, properties)
-    return written
+    with written(deadletter.tag_envelopes(envelopes), "tagged") as tagged:
+        good, dead = deadletter.tagged_parts(tagged)
+        if filters.has_rows(dead):
+            tables.append_jdbc(dead, url, dead_table or f"{version}_dead_letters", properties)
+        out = {}
+        with written(shape.truncate_names(patient_rows(good, **opts)), "rows") as rows:
+            if filters.has_rows(rows):
+                for feed in feeds:
+                    table = layout.table_name(feed, version)
+                    if evolve_ddl is not None:
+                        out[table] = tables.append_jdbc_evolving(rows, url, table, properties, evolve_ddl)
+                    else:
+                        out[table] = tables.append_jdbc(rows, url, table, properties)
+        return out
 
 
 def run_feeds_parquet(envelopes: DataFrame, feeds: Iterable[str], base_path: str,
                       version: str = layout.TABLE_VERSION, dead_path: str | None = None,
-                      **opts) -> dict[str, int]:
+                      run: str | None = None, **opts) -> dict[str, int]:
     """K1-K3, K5 Parquet twin: a single job writes every feed's table directory.
 
-    Dead envelopes are appended to `dead_path` (by default `<base_path>_dead`).
-    Neither path is touched when there is nothing to write to it (F2).
+    The source is read and parsed once (see `run_feeds_jdbc`).  Dead envelopes are
+    appended to `dead_path` (by default `<base_path>_dead`).  Neither path is touched
+    when there is nothing to write to it (F2).  With `run` both tables have a commit
+    log: a run that is repeated, after a success or a failure, leaves one copy, and
+    `tables.read_committed` reads them.
     """
-    rows, dead = _routed_rows(envelopes, opts)
-    if filters.has_rows(dead):
-        tables.append_parquet(dead, dead_path or f"{base_path.rstrip('/')}_dead")
-    if not filters.has_rows(rows):
-        return {}
-    return tables.write_feeds_parquet(rows, base_path, feeds, version)
+    dead_path = dead_path or f"{base_path.rstrip('/')}_dead"
+    feeds = list(feeds)
+    done = CommitLog(envelopes.sparkSession, base_path).find(run) if run is not None else None
+    if done is not None:                    # the feeds are committed last
+        return {layout.table_name(f, version): done.rows // len(feeds) for f in feeds}
+    with written(deadletter.tag_envelopes(envelopes), "tagged") as tagged:
+        good, dead = deadletter.tagged_parts(tagged)
+        if run is not None:
+            tables.append_once(dead, dead_path, run, skip_empty=True)
+        elif filters.has_rows(dead):
+            tables.append_parquet(dead, dead_path)
+        rows = shape.truncate_names(patient_rows(good, **opts))
+        if run is not None:
+            return tables.write_feeds_once(rows, base_path, feeds, run, version)
+        # Rows are there after the dedupe if some are there before it; that needs no shuffle.
+        if not filters.has_rows(patient_rows(good, **{**opts, "dedupe": False})):
+            return {}
+        return tables.write_feeds_parquet(rows, base_path, feeds, version)

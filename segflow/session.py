@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -85,3 +87,26 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/segflow-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that this library wrote, in whatever store it is; False if it
+    was not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The rows of `df`, computed once and read from the shared folder.
+
+    For work that needs them more than once and ends inside the block; the copy is
+    removed after it, also when the block fails.
+    """
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield DataFrameReader(spark).schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)
