@@ -88,9 +88,8 @@ def date_prefix(ts: Column | str, padded: bool = False) -> Column:
     return F.when(ts.isNotNull(), F.concat_ws("/", *[x.cast("string") for x in parts]))
 
 
-def parse_documents(docs: DataFrame, json_col: str, schema: StructType = ENVELOPE, more_reasons=None
-                    ) -> tuple[DataFrame, DataFrame]:
-    """Parse a text column: (envelopes, dead rows = input columns + `reason`).
+def tag_documents(docs: DataFrame, json_col: str, schema: StructType = ENVELOPE, more_reasons=None) -> DataFrame:
+    """Input columns, the parsed struct `_e`, and `reason` (NULL for an envelope).
 
     The text is parsed once, behind a one-row generator: the routing filters
     read the generated column, so Catalyst cannot push them under the parse and
@@ -104,7 +103,17 @@ def parse_documents(docs: DataFrame, json_col: str, schema: StructType = ENVELOP
                         _parse_reason([F.col(f"_e.`{f.name}`") for f in schema.fields], F.col(f"_e.{CORRUPT}")))
     if more_reasons is not None:
         reason = F.coalesce(reason, more_reasons("_e"))
-    tagged = parsed.withColumn("reason", reason)
+    return parsed.withColumn("reason", reason)
+
+
+def parse_documents(docs: DataFrame, json_col: str, schema: StructType = ENVELOPE, more_reasons=None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Parse a text column: (envelopes, dead rows = input columns + `reason`).
+
+    Two lazy frames: a job that uses both parses twice, unless it writes
+    `tag_documents` first and takes them from the copy.
+    """
+    tagged = tag_documents(docs, json_col, schema, more_reasons)
     good = tagged.where("reason IS NULL").select(*[F.col(f"_e.`{f.name}`").alias(f.name) for f in schema.fields])
     return good, tagged.where("reason IS NOT NULL").drop("_e")
 
@@ -173,14 +182,16 @@ def _blob_matches(rows: DataFrame, blob_col: str, meta, segments) -> DataFrame:
 
 
 def segments_from_blob(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
-                       segments=("MSH",) + SUPERSET_SEGMENTS) -> DataFrame:
+                       segments=("MSH",) + SUPERSET_SEGMENTS, extra=()) -> DataFrame:
     """Metadata + raw HL7 blob (segments split by CR, LF or CRLF) -> envelope columns.
 
     The envelope holds one text per segment id, the last one.  Earlier ones of a
     segment that occurs more than once are kept in `repeated`
-    (array<struct<seg,occurrence,text>>), so nothing is lost; `blob_segments`
-    gives all of them as rows.
+    (array<struct<seg,occurrence,text>>), so nothing is lost; `blob_segments` or,
+    from a written copy, `envelope_segments` gives all of them as rows.  `extra`
+    names further columns to keep.
     """
+    meta = (*meta, *extra)
     m = _blob_matches(rows, blob_col, meta, segments)
     cols = [f"`{c}`" for c in meta if c in rows.columns]
     earlier = ", ".join(
@@ -203,9 +214,30 @@ def blob_segments(rows: DataFrame, blob_col: str = "hl7", meta=METADATA,
             .selectExpr(*cols, "seg", "_i + 1 AS occurrence", "text"))
 
 
+def envelope_segments(envelopes: DataFrame, meta=METADATA, segments=SUPERSET_SEGMENTS) -> DataFrame:
+    """The rows of `blob_segments` from envelopes with `repeated`, so a blob that was
+    read and split once gives both forms."""
+    cols = [f"`{c}`" for c in meta if c in envelopes.columns]
+    last = ", ".join(
+        f"named_struct('seg', '{s.lower()}', 'occurrence', size(filter(repeated, r -> r.seg = '{s.lower()}')) + 1, 'text', `{s}`)"
+        for s in segments)
+    listed = ", ".join(f"'{s.lower()}'" for s in segments)
+    return (envelopes.selectExpr(*cols, f"inline(concat(filter(repeated, r -> r.seg IN ({listed})), array({last})))")
+            .where("text IS NOT NULL"))
+
+
 def catch_up(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str,
              lower: int, upper: int, num_partitions: int, blob_col: str = "hl7") -> tuple[DataFrame, DataFrame]:
     """S6 as one flow: the relational table read in parallel ranges, as
-    (envelopes, all segments as rows)."""
+    (envelopes, all segments as rows).
+
+    The database is read once: envelopes are checkpointed into the shared folder and
+    both frames come from there.  `sources.catchup` has the form for large tables,
+    which can stop and go on.
+    """
+    from segflow.session import checkpoint_dir
+
+    checkpoint_dir(spark)
     rows = read_jdbc_catchup(spark, url, table, properties, partition_column, lower, upper, num_partitions)
-    return segments_from_blob(rows, blob_col), blob_segments(rows, blob_col)
+    env = segments_from_blob(rows, blob_col).checkpoint(eager=True)
+    return env, envelope_segments(env)
