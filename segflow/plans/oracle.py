@@ -138,7 +138,9 @@ WHERE NOT EXISTS (SELECT 1 FROM ig_field g WHERE g.k = l.seg || '_' || l.field)
 
 
 def q_full_messages() -> str:
-    """No parsing: each place of a full message holds a text of its own."""
+    """Full messages without parsing: each place holds a text of its own.  The other
+    messages are split like elsewhere."""
+    keep = ("patientid", "id")
     parts = []
     for name, place in PLACES.items():
         seg, _, at = place.partition("-")
@@ -148,8 +150,12 @@ def q_full_messages() -> str:
             value = ("CASE c_nationkey % 6 WHEN 0 THEN 'CA' WHEN 1 THEN 'OR' WHEN 2 THEN 'WA' "
                      "WHEN 3 THEN 'NY' WHEN 4 THEN 'UT' ELSE 'NV' END")
         parts.append(f"{value} AS {_q(name)}")
-    return ("SELECT CAST(o_custkey AS VARCHAR) AS patientid, CAST(o_orderkey AS VARCHAR) AS id,\n  "
-            + ",\n  ".join(parts) + f"\nFROM orders JOIN customer ON o_custkey = c_custkey WHERE {FULL_RULE}")
+    names = ", ".join(_q(n) for n in PLACES)
+    return (f"WITH {derived_cte()},\n{split_cte(keep=keep)},\nparsed AS ({wide_select(keep=keep)})\n"
+            "SELECT CAST(o_custkey AS VARCHAR) AS patientid, CAST(o_orderkey AS VARCHAR) AS id,\n  "
+            + ",\n  ".join(parts) + f", true AS \"full\"\nFROM orders JOIN customer ON o_custkey = c_custkey WHERE {FULL_RULE}\n"
+            f"UNION ALL BY NAME\nSELECT patientid, id, {names}, false AS \"full\" FROM parsed\n"
+            f"WHERE NOT ({FULL_RULE.replace('o_orderkey', 'CAST(id AS BIGINT)')})")
 
 
 LAST_REP_COLUMNS = ("pt_address_st_1", "pt_address_city", "pt_address_state_prov",
@@ -266,6 +272,39 @@ tagged AS (SELECT id, {_DAMAGE} AS reason FROM env)
 SELECT CASE WHEN reason IS NULL THEN 'good' ELSE 'dead' END AS kind, id, reason FROM tagged"""
 
 
+def q_dead_letter_replay() -> str:
+    """First lot (odd ids): replayed with the text mended, then with foreign PIDs taken
+    out too.  Second lot: the second replay only."""
+    return f"""WITH {derived_cte(dedupe=False)},
+dead AS (SELECT id, CAST(id AS BIGINT) % 2 = 1 AS early, pv1 = 'PV1' AS nobody,
+                pid IS NULL AND pv1 IS NOT NULL AS foreign_pid
+         FROM env WHERE ({_DAMAGE}) IS NOT NULL),
+x AS (SELECT id, early, coalesce(nobody, false) AS nobody, early AND NOT coalesce(nobody, false) AND foreign_pid AS second_try
+      FROM dead)
+SELECT id, CASE WHEN NOT nobody THEN 'good' WHEN early THEN 'parked' ELSE 'waiting' END AS kind,
+       CASE WHEN nobody THEN 'no patientId' END AS reason,
+       CAST(CASE WHEN early AND (nobody OR second_try) THEN 2 ELSE 1 END AS INTEGER) AS attempts,
+       CASE WHEN early THEN 'night-1' ELSE 'night-2' END AS added
+FROM x"""
+
+
+def q_latest_stream_dead_letter() -> str:
+    return f"""WITH {derived_cte(dedupe=False)},
+tagged AS (SELECT *, {_DAMAGE} AS reason FROM env),
+ranked AS (
+  SELECT id, row_number() OVER (PARTITION BY patientid
+      ORDER BY {_updated_ts()} DESC NULLS LAST, TRY_CAST(id AS BIGINT) DESC NULLS LAST,
+               id DESC NULLS LAST) AS rn
+  FROM tagged WHERE reason IS NULL)
+SELECT 'good' AS kind, id, CAST(NULL AS VARCHAR) AS reason FROM ranked WHERE rn = 1
+UNION ALL SELECT 'dead', id, reason FROM tagged WHERE reason IS NOT NULL"""
+
+
+def q_append_once() -> str:
+    keep = ("patientid", "id", "dob")
+    return f"WITH {derived_cte()},\n{split_cte(keep=keep)}\n{wide_select(keep=keep)}"
+
+
 def _updated_ts(col: str = "updatedat") -> str:
     return (f"coalesce(try_strptime({col}, '%Y-%m-%d %H:%M:%S'), "
             f"try_strptime({col}, '%Y-%m-%d %H:%M'))")
@@ -401,6 +440,7 @@ def queries() -> dict[str, str]:
         "adt_flatten": q_flatten(),
         "adt_state_filter": q_state_filter(),
         "adt_envelope_dedupe": q_dedupe(),
+        "adt_digest_dedupe": q_dedupe(),
         "adt_segment_long": q_long(),
         "adt_ignore_lists": q_ignore_lists(),
         "adt_last_repetition": q_last_repetition(),
@@ -414,8 +454,12 @@ def queries() -> dict[str, str]:
         "adt_document_scan": q_document_scan(),
         "adt_dead_letter": q_dead_letter(),
         "adt_dead_letter_good": q_dead_letter_good(),
+        "adt_dead_letter_replay": q_dead_letter_replay(),
         "adt_stream_dead_letter": q_stream_dead_letter(),
         "adt_latest_patient": q_latest_patient(),
+        "adt_latest_stream_dead_letter": q_latest_stream_dead_letter(),
+        "adt_patient_merge": q_latest_patient(),
+        "adt_append_once": q_append_once(),
         "adt_new_referrals": q_new_referrals(),
         "adt_feed_count": q_feed_count_full(),
         "adt_schema_evolution": q_schema_evolution(),
@@ -425,6 +469,8 @@ def queries() -> dict[str, str]:
         "adt_json_inferred": q_inferred(),
         "adt_json_documents": q_dedupe(),
         "adt_catchup_segments": q_catchup_segments(),
+        "adt_catchup_ranges": q_dedupe(),
+        "adt_catchup_range_segments": q_catchup_segments(),
         "adt_feed_tables": q_feed_tables(),
         "adt_evolving_append": q_schema_evolution(),
         "adt_archive_written": q_archive_written(),

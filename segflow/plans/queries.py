@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segflow import session
-from segflow.operators import deadletter, extract, filters, patients, shape
+from segflow.operators import deadletter, dedupe, extract, filters, patients, shape
+from segflow.operators.replay import DeadLetterStore
 from segflow.plans import etl
 from segflow.plans.oracle import (ARCHIVE_YEAR, DECLARED_SEGMENTS, EVOLUTION_CUTOFF, FEEDS, LAST_REP_COLUMNS,
                                   REFERRAL_CUTOFF)
 from segflow.sinks import tables
+from segflow.sinks.patient_table import PatientTable
 from segflow.sources import derived, envelope
+from segflow.sources.catchup import CatchUp, table_reader
 
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +44,13 @@ def adt_envelope_dedupe(spark, sf_dir):
     return _envelopes(spark, sf_dir)
 
 
+def adt_digest_dedupe(spark, sf_dir):
+    """S4 on stored envelopes: only digests and the rows suspected of a copy are shuffled."""
+    path = session.work_path(spark, "stored")
+    derived.derived_envelopes(spark, sf_dir).write.parquet(path)
+    return shape.lower_case_names(dedupe.dedupe_by_digest(spark.read.parquet(path)))
+
+
 def adt_segment_long(spark, sf_dir):
     return extract.segments_long(_envelopes(spark, sf_dir))
 
@@ -59,9 +69,12 @@ def adt_numbered_repetitions(spark, sf_dir):
 
 
 def adt_full_messages(spark, sf_dir):
-    """Full messages only: every mapped column, checked without any parsing."""
-    full = _envelopes(spark, sf_dir).where("CAST(id AS BIGINT) % 10 = 4")
-    return extract.flatten_wide(full, keep=("patientid", "id"))
+    """Every mapped column of every message; full ones are found by what they hold
+    (a value in each of the 170 columns), the oracle builds them without any parsing."""
+    wide = extract.flatten_wide(_envelopes(spark, sf_dir), keep=("patientid", "id"))
+    names = [c for c in wide.columns if c not in ("patientid", "id")]
+    filled = F.size(F.filter(F.array(*names), lambda v: v.isNotNull())) == len(names)
+    return wide.withColumn("full", filled)
 
 
 def adt_numbered_extras(spark, sf_dir):
@@ -119,6 +132,32 @@ def adt_dead_letter_good(spark, sf_dir):
     return shape.lower_case_names(good)
 
 
+def adt_dead_letter_replay(spark, sf_dir):
+    """K5: two lots of dead letters, two replays with other repairs, a limit of two
+    attempts; where every letter stands after that."""
+    _, dead = deadletter.route_dead_letters(_damaged_documents(spark, sf_dir))
+    store = DeadLetterStore(spark, session.work_path(spark, "letters"), max_attempts=2)
+    number = F.regexp_extract("json", '"id":"([0-9]+)"', 1).cast("bigint")
+
+    def untag(letters):
+        return letters.withColumn("body", F.regexp_replace("body", "^<", ""))
+
+    def no_foreign_pid(letters):
+        return untag(letters).withColumn("body", F.regexp_replace("body", '"PID":"PV1[^"]*",', ""))
+
+    with session.written(dead, "dead") as rows:
+        store.add(rows.where(number % 2 == 1), "night-1")
+        store.replay("morning-1", untag)
+        store.replay("morning-1", untag)                                # repeated
+        store.add(rows.where(number % 2 == 0), "night-2")
+    store.replay("morning-2", no_foreign_pid)
+    text_id = F.regexp_extract("body", '"id":"([0-9]+)"', 1)
+    out = store.good().select("id", F.lit("good").alias("kind"), F.lit(None).cast("string").alias("reason"), "attempts", "added")
+    for kind, letters in (("waiting", store.waiting()), ("parked", store.parked())):
+        out = out.unionByName(letters.select(text_id.alias("id"), F.lit(kind).alias("kind"), "reason", "attempts", "added"))
+    return out
+
+
 def adt_stream_dead_letter(spark, sf_dir):
     """W1 + K5: damaged documents arrive as files; every message is either in the
     stream's rows or among its dead letters."""
@@ -128,10 +167,48 @@ def adt_stream_dead_letter(spark, sf_dir):
     _damaged_documents(spark, sf_dir).select("json").write.text(src)
     start_patient_stream(spark, src, out, ckpt, states=None, dedupe=False, keep=("patientid", "id"),
                          dead_path=f"{out}_dead").awaitTermination()
-    good = spark.read.parquet(out).select(F.lit("good").alias("kind"), "id", F.lit(None).cast("string").alias("reason"))
+    return _good_and_dead(spark.read.parquet(out), spark.read.parquet(f"{out}_dead"))
+
+
+def _good_and_dead(good: DataFrame, dead: DataFrame) -> DataFrame:
+    """(kind, id, reason) of a run's two outputs; unparsed text still shows its id."""
     text_id = F.regexp_extract("_corrupt_record", '"id":"([0-9]+)"', 1)
-    dead = spark.read.parquet(f"{out}_dead").select(F.lit("dead").alias("kind"), F.coalesce("id", text_id).alias("id"), "reason")
-    return good.unionByName(dead)
+    return (good.select(F.lit("good").alias("kind"), "id", F.lit(None).cast("string").alias("reason"))
+            .unionByName(dead.select(F.lit("dead").alias("kind"), F.coalesce("id", text_id).alias("id"), "reason")))
+
+
+def adt_latest_stream_dead_letter(spark, sf_dir):
+    """W1 + K6 + K5: damaged documents arrive as files; a stream merges each batch
+    into the patient table and writes what is dead in the same run."""
+    from segflow.streaming.stream import start_merge_stream
+
+    src, out, ckpt = (session.work_path(spark, n) for n in ("merge-in", "merge-out", "merge-ckpt"))
+    _damaged_documents(spark, sf_dir).select("json").write.text(src)
+    table = PatientTable(spark, out, buckets=16)
+    start_merge_stream(spark, src, table, ckpt, max_files_per_trigger=2).awaitTermination()
+    return _good_and_dead(table.read(), spark.read.parquet(f"{out}_dead"))
+
+
+def adt_patient_merge(spark, sf_dir):
+    """K6 as a merge: three batches with updates of the same patients, the second of
+    them replayed; then the table."""
+    table = PatientTable(spark, session.work_path(spark, "patients"), buckets=16)
+    env = shape.lower_case_names(derived.derived_envelopes(spark, sf_dir))
+    for k in (0, 1, 1, 2):
+        table.merge(env.where(F.pmod(F.xxhash64("id"), F.lit(3)) == k), f"night-{k}")
+    return extract.flatten_wide(table.read(), keep=("patientid", "id", "updatedat", "dob"))
+
+
+def adt_append_once(spark, sf_dir):
+    """K1 for jobs that are rerun: one run fails between its write and its commit and
+    is repeated, another is repeated after its success; every row is there once."""
+    path = session.work_path(spark, "once")
+    rows = extract.flatten_wide(_envelopes(spark, sf_dir), keep=("patientid", "id", "dob"))
+    odd = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+    tables.stage_run(rows.where(odd), path, "night-1")                  # fails before the commit
+    for run, part in (("night-2", ~odd), ("night-1", odd), ("night-2", ~odd)):
+        tables.append_once(rows.where(part), path, run)
+    return tables.read_committed(spark, path)
 
 
 def adt_latest_patient(spark, sf_dir):
@@ -238,6 +315,34 @@ def adt_catchup_blob(spark, sf_dir):
     return shape.lower_case_names(rows.dropDuplicates())
 
 
+def _catch_up_twin(spark, sf_dir) -> CatchUp:
+    """A relational table's Parquet twin with a skewed key, caught up in two runs: the
+    first stops after one wave, the second reads what the ledger does not hold."""
+    path = session.work_path(spark, "blobs")
+    key = F.expr("CAST(id AS BIGINT) * CAST(id AS BIGINT) div 1000")
+    _blob_rows(spark, sf_dir).withColumn("row_key", key) \
+        .repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(path)
+    out = session.work_path(spark, "catch-up")
+    rows = spark.read.parquet(path)
+    for waves in (1, None):
+        job = CatchUp(spark, out, rows.select("row_key"), table_reader(rows, "row_key"), "row_key", ranges=24)
+        job.run(max_waves=waves, wave=8)
+    return job
+
+
+def adt_catchup_ranges(spark, sf_dir):
+    """S6 that stops and goes on: envelopes of all ranges."""
+    env = _catch_up_twin(spark, sf_dir).envelopes().drop("repeated", "range")
+    return shape.lower_case_names(env.dropDuplicates())
+
+
+def adt_catchup_range_segments(spark, sf_dir):
+    """S6 + X12 from the same copy: every segment of every blob in long form."""
+    rows = _catch_up_twin(spark, sf_dir).envelopes()
+    segs = envelope.envelope_segments(rows.drop("range").dropDuplicates(), meta=("patientId", "id"))
+    return extract.occurrences_long(shape.lower_case_names(segs), keep=("patientid", "id"))
+
+
 def adt_catchup_segments(spark, sf_dir):
     """S6 + X12: every segment of every blob, repeated ones too, in long form."""
     rows = _blob_rows(spark, sf_dir).dropDuplicates()
@@ -253,13 +358,14 @@ def adt_feed_tables(spark, sf_dir):
 
 
 def adt_evolving_append(spark, sf_dir):
-    """K2: two appends to one table, the second with more columns, read as one."""
+    """K2: two appends to one table, the second with more columns, read as one; the
+    columns come from the commit log, not from the files."""
     path = session.work_path(spark, "evolving")
     env = _envelopes(spark, sf_dir)
     early_flag = patients.parse_updated("updatedat") < patients.wall_clock(EVOLUTION_CUTOFF)
-    tables.append_parquet(extract.flatten_wide(env.where(early_flag), segments=DECLARED_SEGMENTS), path)
-    tables.append_parquet(extract.flatten_wide(env.where(~early_flag | early_flag.isNull())), path)
-    return tables.read_evolving(spark, path)
+    tables.append_once(extract.flatten_wide(env.where(early_flag), segments=DECLARED_SEGMENTS), path, "early")
+    tables.append_once(extract.flatten_wide(env.where(~early_flag | early_flag.isNull())), path, "late")
+    return tables.read_committed(spark, path)
 
 
 def adt_archive_written(spark, sf_dir):
@@ -326,6 +432,7 @@ QUERIES = {
     "adt_flatten": adt_flatten,
     "adt_state_filter": adt_state_filter,
     "adt_envelope_dedupe": adt_envelope_dedupe,
+    "adt_digest_dedupe": adt_digest_dedupe,
     "adt_segment_long": adt_segment_long,
     "adt_ignore_lists": adt_ignore_lists,
     "adt_last_repetition": adt_last_repetition,
@@ -339,7 +446,11 @@ QUERIES = {
     "adt_document_scan": adt_document_scan,
     "adt_dead_letter": adt_dead_letter,
     "adt_dead_letter_good": adt_dead_letter_good,
+    "adt_dead_letter_replay": adt_dead_letter_replay,
     "adt_stream_dead_letter": adt_stream_dead_letter,
+    "adt_latest_stream_dead_letter": adt_latest_stream_dead_letter,
+    "adt_patient_merge": adt_patient_merge,
+    "adt_append_once": adt_append_once,
     "adt_latest_patient": adt_latest_patient,
     "adt_new_referrals": adt_new_referrals,
     "adt_feed_count": adt_feed_count,
@@ -353,6 +464,8 @@ QUERIES = {
     "adt_message_table": adt_message_table,
     "adt_catchup_blob": adt_catchup_blob,
     "adt_catchup_segments": adt_catchup_segments,
+    "adt_catchup_ranges": adt_catchup_ranges,
+    "adt_catchup_range_segments": adt_catchup_range_segments,
     "adt_feed_tables": adt_feed_tables,
     "adt_evolving_append": adt_evolving_append,
     "adt_archive_written": adt_archive_written,

@@ -17,7 +17,9 @@ FAST = ["adt_flatten", "adt_state_filter", "adt_envelope_dedupe", "adt_segment_l
         "adt_new_referrals", "adt_dead_letter", "adt_catchup_blob", "adt_document_scan",
         "adt_full_messages", "adt_numbered_extras", "adt_dead_letter_good", "adt_stream_dead_letter",
         "adt_catchup_segments", "adt_json_documents", "adt_feed_tables", "adt_evolving_append",
-        "adt_archive_written", "adt_empty_result", "adt_observed_wide", "adt_extras_map"]
+        "adt_archive_written", "adt_empty_result", "adt_observed_wide", "adt_extras_map",
+        "adt_patient_merge", "adt_append_once", "adt_latest_stream_dead_letter", "adt_dead_letter_replay",
+        "adt_digest_dedupe", "adt_catchup_ranges", "adt_catchup_range_segments"]
 
 
 def _digest(cols, rows):
