@@ -4,11 +4,14 @@
    and stems (word beginnings), that stand in toxic documents and hardly in
    others.  Support is counted in distinct neighbourhoods (word before and
    after), so copies of one document do not vouch for its words.
+   Support and clean counts are joined in Spark; every term that is precise enough
+   is kept, of whatever length, so the labelled sample alone bounds the lexicon.
 2. The lexicon is a trie.  Its product with the Levenshtein automaton of k edits
-   is determinised while words are read: a state is the set of (trie node, edits
-   so far), a transition is computed once and kept.  Each distinct word takes one
-   walk and yields its term and distance.  Terms whose near misses also stand in
-   clean training documents are matched exactly only.
+   (a letter more, less or other, or two neighbours swapped) is determinised while
+   words are read: a state is the set of (trie node, edits so far), a transition is
+   computed once and kept.  Each distinct word takes one walk and yields its term and
+   distance.  Terms whose near misses also stand in clean training documents are
+   matched exactly only; that alone decides for short terms too.
 3. A term's evidence is its log-odds of standing in a toxic text.  Hits are told
    apart by a window of words around each: quotation marks and reporting verbs
    speak for quotation, other hits and second-person words for abuse.  A ridge
@@ -32,13 +35,10 @@ from pyspark.sql import functions as F
 from segflow.llm.common import arrow_map, bounded_sample, cut, ship, texts
 
 SAMPLE_ROWS = 20_000        # labelled training rows used at most
-LEXICON_TERMS = 5_000       # terms kept at most
-CANDIDATES = 50_000         # terms looked up in clean sample documents at most
 MIN_SUPPORT = 5             # distinct neighbourhoods of a term in toxic documents
 MIN_PRECISION = 0.9
 STEM_LENGTHS = (4, 5, 6, 7)
 STEM_WORDS = 4              # distinct words under a stem
-FUZZY_FROM = 5              # letters from which one edit is allowed
 FUZZY_PRECISION = 0.8
 FUZZY_SHARE = 0.8           # evidence of a near miss, as a share of the term's
 WINDOW = 10                 # words on either side of a hit
@@ -84,9 +84,11 @@ class Lexicon:
         self.known: dict[str, tuple[str, int] | None] = {}
         self.start = self._state({0: 0})
 
-    def _state(self, at: dict[int, int]) -> int:
-        """State of a set of (node, edits), closed under letters left out."""
-        todo = list(at)
+    def _state(self, at: dict) -> int:
+        """State of a set of places with their edits, closed under letters left out.
+        A place is a node, or (node, letter): that letter must come next, as the second
+        of two swapped ones."""
+        todo = [n for n in at if isinstance(n, int)]
         while todo:
             node = todo.pop()
             e = at[node]
@@ -106,47 +108,54 @@ class Lexicon:
         known = self.arcs.get((state, c))
         if known is not None:
             return known
-        to: dict[int, int] = {}
-        for node, e in self.sets[state].items():
-            def go(n: int, cost: int) -> None:
-                if cost <= self.edits and to.get(n, self.edits + 1) > cost:
-                    to[n] = cost
-            if self.stem[node]:
-                go(node, e)                          # anything may follow a stem
+        to: dict = {}
+
+        def go(place, cost: int) -> None:
+            if cost <= self.edits and to.get(place, self.edits + 1) > cost:
+                to[place] = cost
+
+        for place, e in self.sets[state].items():
+            if isinstance(place, tuple):             # inside a swap
+                if place[1] == c:
+                    go(place[0], e)
                 continue
-            child = self.children[node].get(c)
+            if self.stem[place]:
+                go(place, e)                         # anything may follow a stem
+                continue
+            child = self.children[place].get(c)
             if child is not None:
                 go(child, e)
             if e < self.edits:
-                go(node, e + 1)                      # a letter too many
-                for other in self.children[node].values():
+                go(place, e + 1)                     # a letter too many
+                for letter, other in self.children[place].items():
                     go(other, e + 1)                 # another letter
+                    swapped = self.children[other].get(c)
+                    if swapped is not None and letter != c:
+                        go((swapped, letter), e + 1)
         result = self.arcs[state, c] = self._state(to) if to else -1
         return result
 
+    def near(self, word: str) -> dict[str, int]:
+        """All terms within the allowed edits, with their distance."""
+        if len(self.arcs) >= KNOWN_ARCS:
+            self._fresh()
+        state = self.start
+        for c in word:
+            state = self._arc(state, c)
+            if state < 0:
+                return {}
+        return {self.end[n]: e for n, e in self.sets[state].items() if isinstance(n, int) and self.end[n] is not None}
+
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, edits) of the nearest term, or None."""
         if word in self.known:
             return self.known[word]
-        if len(self.known) >= KNOWN_WORDS or len(self.arcs) >= KNOWN_ARCS:
+        if len(self.known) >= KNOWN_WORDS:
             self._fresh()
-        state = self.start
-        for c in word[:64]:
-            state = self._arc(state, c)
-            if state < 0:
-                break
-        best = None
-        if state >= 0 and (len(word) <= 64 or any(self.stem[n] for n in self.sets[state])):
-            for node, e in self.sets[state].items():
-                term = self.end[node]
-                if term is None or (len(word) > 64 and not self.stem[node]):
-                    continue
-                if e and (len(term.rstrip("*")) < FUZZY_FROM or term in self.exact_only):
-                    continue
-                if best is None or (e, term) < (best[1], best[0]):
-                    best = (term, e)
-        self.known[word] = best
-        return best
+        found = [(e, t) for t, e in self.near(word).items() if not (e and t in self.exact_only)]
+        best = min(found, default=None)
+        self.known[word] = best and (best[1], best[0])
+        return self.known[word]
 
 
 N_FEATURES = 5
@@ -182,7 +191,7 @@ def _features(lexicon: Lexicon, evidence: dict[str, float], text: str) -> list[f
         weight = evidence[hit[0]] * (FUZZY_SHARE if hit[1] else 1.0)
         best[quoted] = max(best[quoted], weight)
         you += not SECOND_PERSON.isdisjoint(near)
-    together = max(sum(1 for q in places[k: k + 2 * WINDOW] if q - p <= 2 * WINDOW) for k, p in enumerate(places))
+    together = max(sum(1 for q in places[k: k + 2 * WINDOW + 1] if q - p <= 2 * WINDOW) for k, p in enumerate(places))
     return [*best, math.log1p(together), math.log1p(you), len(places) / len(words)]
 
 
@@ -222,7 +231,7 @@ def _terms_of(text: str) -> Iterator[tuple[str, str, int]]:
     words = _WORD.findall(text.lower())
     seen = set()
     for i, w in enumerate(words):
-        if w in seen or len(w) > 40 or len(w) < 3:
+        if w in seen:
             continue
         around = zlib.crc32(" ".join(words[max(0, i - 1): i] + ["_"] + words[i + 1: i + 2]).encode())
         for t in (w, *(w[:k] + "*" for k in STEM_LENGTHS if len(w) > k)):
@@ -252,29 +261,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
                  .select("text", F.col("label").cast("int").alias("label")))
     mined = (arrow_map(sample.where("label = 1").select("text"), "toxicity", _mine, "term string, word string, around long")
              .groupBy("term").agg(F.countDistinct("around").alias("p"), F.countDistinct("word").alias("words"))
-             .where(F.col("p") >= MIN_SUPPORT)
-             .orderBy(F.desc("p"), "term").limit(CANDIDATES).collect())
-    mined = {r.term: (r.p, r.words) for r in mined}
-    stems = {t for t in mined if t.endswith("*")}
-    plain = set(mined) - stems
+             .where((F.col("p") >= MIN_SUPPORT) & (~F.col("term").endswith("*") | (F.col("words") >= STEM_WORDS))))
 
     def count_clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n: Counter[str] = Counter()
             for text in b.column("text").to_pylist():
                 words = set(_WORD.findall(text.lower()))
-                n.update(words & plain)
-                n.update({w[:k] + "*" for w in words for k in STEM_LENGTHS if len(w) > k} & stems)
+                n.update(words)
+                n.update({w[:k] + "*" for w in words for k in STEM_LENGTHS if len(w) > k})
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64())],
                                                  names=["term", "n"])
 
-    clean = {r.term: r.n for r in
-             arrow_map(sample.where("label = 0").select("text"), "toxicity", count_clean, "term string, n long")
-             .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    good = sorted((t for t, (p, words) in mined.items()
-                   if p / (p + clean.get(t, 0)) >= MIN_PRECISION and (t not in stems or words >= STEM_WORDS)),
-                  key=lambda t: (t not in stems, len(t), t))
+    clean = (arrow_map(sample.where("label = 0").select("text"), "toxicity", count_clean, "term string, n long")
+             .groupBy("term").agg(F.sum("n").alias("n")))
+    # Precise terms only reach the driver; their number is bounded by the sample.
+    precise = (mined.join(clean, "term", "left").select("term", "p", F.coalesce("n", F.lit(0)).alias("n"))
+               .where(F.col("p") >= MIN_PRECISION * (F.col("p") + F.col("n"))).collect())
+    counts = {r.term: (r.p, r.n) for r in precise}
+    good = sorted(counts, key=lambda t: (not t.endswith("*"), len(t), t))
     terms: list[str] = []
     held: set[str] = set()
     for t in good:                                       # shortest stems first; no term under a stem
@@ -282,18 +288,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
         if not any(body[:k] + "*" in held for k in range(1, len(body) + 1)):
             terms.append(t)
             held.add(t)
-    terms = sorted(terms, key=lambda t: (-mined[t][0], t))[:LEXICON_TERMS]
+    terms.sort(key=lambda t: (-counts[t][0], t))
     by_label = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = math.log((by_label.get(1, 0) + 0.5) / (by_label.get(0, 0) + 0.5))
-    evidence = {t: max(0.0, math.log((mined[t][0] + 0.5) / (clean.get(t, 0) + 0.5)) - prior) for t in terms}
+    evidence = {t: max(0.0, math.log((counts[t][0] + 0.5) / (counts[t][1] + 0.5)) - prior) for t in terms}
 
     # Near misses that stand in clean documents too: those terms match exactly only.
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms)
+        known: dict[str, list[str]] = {}
+
+        def misses(word: str) -> list[str]:
+            if word not in known:
+                if len(known) >= KNOWN_WORDS:
+                    known.clear()
+                places = lexicon.near(word)
+                known[word] = [] if 0 in places.values() else list(places)      # a term itself is no miss
+            return known[word]
+
         for b in batches:
             n: Counter[tuple[str, int]] = Counter()
             for text, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
-                found = {m[0] for w in set(_WORD.findall(text.lower())) if (m := lexicon.match(w)) and m[1]}
+                found = {t for w in set(_WORD.findall(text.lower())) for t in misses(w)}
                 n.update((t, y) for t in found)
             if n:
                 yield pa.RecordBatch.from_arrays(

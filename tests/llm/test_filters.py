@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from segflow.llm import toxicity
 from segflow.llm.decontaminate import find_contaminated
 from segflow.llm.quality import FEATURES, QualityModel, features, fit_quality, score_quality
 from segflow.llm.secret_scan import _thresholds, secret_scan
@@ -131,24 +132,122 @@ def test_decontamination(spark):
 
 def test_lexicon_equals_distances():
     rnd = random.Random(3)
-    terms = ["clown", "scum", "pathetic", "idiot", "idiom", "abcde"]
+    terms = ["clown", "scum", "pathetic", "idiot", "idiom", "abcde", "ba", "q", "x" * 50]
     lexicon = Lexicon([*terms, "vequ*"], exact_only={"idiom"})
-    words = set(terms) | {"scu", "scums", "vequ", "vequxyz", "veqxyz", "vaquxyz", "v", "", "idion"}
+    words = set(terms) | {"scu", "scums", "vequ", "vequxyz", "veqxyz", "vaquxyz", "evqu", "veuqlong", "v", "", "idion", "sucm",
+                          "mroon", "ab", "bab", "x" * 49, "x" * 51, "x" * 5000, "vequ" + "y" * 5000}
     for _ in range(3000):
         w = list(rnd.choice(terms))
         for _ in range(rnd.randint(0, 3)):
             k = rnd.randrange(len(w) + 1)
-            w[k:k + rnd.randint(0, 1)] = rnd.choice(["", "a", "t", "x"])
+            if rnd.random() < 0.3 and 0 < k < len(w):
+                w[k - 1], w[k] = w[k], w[k - 1]
+            else:
+                w[k:k + rnd.randint(0, 1)] = rnd.choice(["", "a", "t", "x"])
         words.add("".join(w))
     for w in words:
-        near = [(brute.distance(w, t), t) for t in terms]
-        near = [(e, t) for e, t in near if e == 0 or (e == 1 and len(t) >= 5 and t != "idiom")]
-        if w.startswith("vequ"):
-            near.append((0, "vequ*"))
+        near = [(brute.distance(w, t), t) for t in terms if abs(len(w) - len(t)) < 2]
+        near += [(min(brute.distance(w[:k], "vequ") for k in range(min(len(w), 6) + 1)), "vequ*")]
+        near = [(e, t) for e, t in near if e == 0 or (e == 1 and t != "idiom")]
         want = min(near, default=None)
         assert lexicon.match(w) == (None if want is None else (want[1], want[0])), w
 
 
+def test_terms_of_every_length(spark):
+    """Words of 2 and 50 letters become terms, a 4-letter one is found misspelt, and
+    no number of other terms pushes them out."""
+    rnd = random.Random(11)
+    common = [f"word{k}" for k in range(120)]
+    bad = ["zq", "scum", "y" * 50]
+    rows, labels = [], []
+    for i in range(240):
+        w = [rnd.choice(common) for _ in range(20)]
+        if i % 2:
+            w[rnd.randrange(20)] = bad[i // 2 % 3]
+        rows.append((i, " ".join(w)))
+        labels.append((i, i % 2))
+    model = fit_toxicity(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, label int"))
+    assert {"zq", "y" * 50} <= set(model.evidence) and any("scum".startswith(t.rstrip("*")) for t in model.evidence)
+    probe = [(1, "word1 scmu word2"), (2, "word3 word4"), (3, "word1 zq word5"), (4, "word9 " + "y" * 50), (None, "word1 zq word5"),
+             (3, "word1 zq word5")]
+    got = sorted(((r.doc_id or 0, round(r.score, 9)) for r in score_toxicity(frame(spark, probe), model).collect()))
+    score = dict(got)
+    assert len(got) == 6 and got[-1][0] == 4 and [x for i, x in got if i == 3] == [score[3]] * 2 == [score[0]] * 2
+    assert score[1] > 0.5 and score[2] < 0.3 and score[3] > 0.7 and score[4] > 0.7
+
+
+def plain_toxicity(model, text):
+    """Features by plain loops over all words and all terms."""
+    import math
+    import re
+
+    def hit(word):
+        found = []
+        for t in model.evidence:
+            body = t.rstrip("*")
+            e = min(brute.distance(word[:k], body) for k in range(len(word) + 1)) if t.endswith("*") else brute.distance(word, body)
+            if e == 0 or (e == 1 and t not in model.exact_only):
+                found.append((e, t))
+        return min(found, default=None)
+
+    low = text.lower()
+    spans = [(m.group(), m.start(), m.end()) for m in re.finditer(r"\w+", low)]
+    words = [s[0] for s in spans]
+    best, places, you = [0.0, 0.0], [], 0
+    for i, (w, a, z) in enumerate(spans):
+        found = hit(w)
+        if found is None:
+            continue
+        places.append(i)
+        first, last = max(0, i - toxicity.WINDOW), min(len(spans) - 1, i + toxicity.WINDOW)
+        before, after = low[spans[first][1]: a], low[z: spans[last][2]]
+        opened = max(before.rfind(c) for c in toxicity.OPENING) > max(before.rfind(c) for c in toxicity.CLOSING)
+        quoted = (before.count('"') % 2 == 1 and '"' in after) or (opened and any(c in after for c in toxicity.CLOSING)) \
+            or any(x in toxicity.REPORTING for x in words[max(0, i - 3): i])
+        best[quoted] = max(best[quoted], model.evidence[found[1]] * (toxicity.FUZZY_SHARE if found[0] else 1))
+        you += any(x in toxicity.SECOND_PERSON for x in words[first: last + 1])
+    if not places:
+        x = [0.0] * 5
+    else:
+        together = max(sum(p <= q <= p + 2 * toxicity.WINDOW for q in places) for p in places)
+        x = [*best, math.log1p(together), math.log1p(you), len(places) / len(words)]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(x, model.weights)) + model.weights[-1])))
+
+
+def test_toxicity_equals_a_plain_scorer(spark):
+    rows, labels = labelled()
+    model = fit_toxicity(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, label int"))
+    probe = rows[::4] + [(901, 'He said "you grumblxi" and left'), (902, "grumblix " * 30), (903, "you snortfac, wuzzlepot!"),
+                         (904, "\u201csnortface\u201d you"), (905, "")]
+    got = {r.doc_id: r.score for r in score_toxicity(frame(spark, probe), model).collect()}
+    assert got == pytest.approx({i: plain_toxicity(model, t) for i, t in probe}, abs=1e-9)
+
+
+def plain_quality(model, x):
+    """The additive model by looping over bins."""
+    import math
+
+    def bin_of(edges, v):
+        return sum(1 for e in edges if e <= v)
+
+    z = model.base
+    for k, v in enumerate(x):
+        z += model.tables[k][bin_of(model.edges[k], v)]
+    for i, j, table in model.pairs:
+        z += table[bin_of(model.coarse[i], x[i])][bin_of(model.coarse[j], x[j])]
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def test_quality_equals_a_plain_scorer(spark):
+    """Tables looked up one by one."""
+    rows = corpus(seed=2, n=200)
+    rows = [(k, t if k % 3 else f"### {t} ###") for k, (_, t) in enumerate(rows)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i, _ in rows], "doc_id long, label int")
+    model = fit_quality(frame(spark, rows), labels)
+    got = {r.doc_id: r.score for r in score_quality(frame(spark, rows), model).collect()}
+    assert got == pytest.approx({i: plain_quality(model, features(t)) for i, t in rows}, abs=1e-9)
+
+
 def labelled(n=400):
     """Texts of common words; toxic ones hold a bad word, some misspelled."""
     rnd = random.Random(8)
