@@ -23,7 +23,7 @@ from segflow.llm.common import arrow_map, texts, worker_models
 
 MARK = "▁"
 PIECE_CHARS = 20_000       # texts longer than this are cut
-GROUP_CHARS = 400_000      # characters handed to the library at once
+GROUP_BYTES = 400_000      # bytes handed to the library at once
 
 def _model(path: str):
     models = worker_models("pieces")
@@ -57,8 +57,8 @@ def safe_pieces(text: str, size: int = PIECE_CHARS) -> list[str]:
     return out
 
 
-def count_tokens(values: list[str], path: str) -> list[int]:
-    """Tokens of each text, as the library gives for the whole text."""
+def count_tokens(values: list[str], sizes: list[int], path: str) -> list[int]:
+    """Tokens of each text, as the library gives for the whole text; sizes: their bytes."""
     model, may_cut = _model(path)
     counts = [0] * len(values)
     group, owners, held = [], [], 0
@@ -72,12 +72,13 @@ def count_tokens(values: list[str], path: str) -> list[int]:
         owners.clear()
         held = 0
 
-    for i, text in enumerate(values):
-        for piece in safe_pieces(text) if may_cut else [text]:
+    for i, (text, size) in enumerate(zip(values, sizes)):
+        pieces = safe_pieces(text) if may_cut else [text]
+        for piece in pieces:
             group.append(piece)
             owners.append(i)
-            held += len(piece)
-            if held >= GROUP_CHARS:
+            held += size if len(pieces) == 1 else len(piece.encode())
+            if held >= GROUP_BYTES:
                 flush()
     flush()
     return counts
@@ -94,7 +95,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = count_tokens(b.column("text").to_pylist(), model_path)
+            n = count_tokens(b.column("text").to_pylist(), b.column("n_bytes").to_pylist(), model_path)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("n_bytes"), pa.array(n, pa.int64())],
                 names=["doc_id", "n_bytes", "n_tokens"])

@@ -90,3 +90,54 @@ def test_bpe_rows(spark, library):
         assert r.n_tokens == len(r.ids) and r.decoded == library.decode(r.ids, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
     assert encode_decode(frame(spark, []), tokenizer_path(WORD_MODEL)).count() == 0
+
+
+def explicit_arcs(vocab, merges):
+    """The automaton built state by state: each state's set of arcs, by label."""
+    base = [s for s in vocab if len(s.removesuffix("</w>")) == 1]
+    arcs = {s: set(base) for s in base if not s.endswith("</w>")} | {"": set(base)}
+    for u, v in merges:
+        if u not in arcs or v not in arcs[u]:
+            continue
+        w = u + v
+        if not w.endswith("</w>"):
+            arcs[w] = set(arcs[v])          # leads where v-arcs led, before the cut below
+        arcs[u] = arcs[u] - {v}             # the copy that u alone leads to loses its v-arc
+        for state in arcs:
+            if u in arcs[state]:
+                arcs[state].add(w)
+    return arcs
+
+
+def test_arcs_equal_an_explicit_automaton():
+    """States and arcs of random merge lists, not only the encodings."""
+    rnd = random.Random(6)
+    for _ in range(60):
+        inner = ["a", "b", "c"][: rnd.randint(1, 3)]
+        known, merges = [*inner, *[x + "</w>" for x in inner]], []
+        for _ in range(rnd.randint(1, 14)):
+            u, v = rnd.choice([x for x in known if not x.endswith("</w>")]), rnd.choice(known)
+            if u + v not in known and len(u + v) < 30:
+                merges.append((u, v))
+                known.append(u + v)
+        vocab = {s: i for i, s in enumerate(known)}
+        auto, arcs = TokenizationAutomaton(vocab, merges), explicit_arcs(vocab, merges)
+        live = {*auto.inner, *(f"{x}</w>" for x in auto.final)}
+        assert live == {x for state in arcs.values() for x in state} | (set(arcs) - {""})
+        for t in auto.inner:
+            assert {x for x in live if auto.step(vocab[t], vocab[x])} == arcs[t], (merges, t)
+
+
+def test_groups_are_balanced_by_bytes(monkeypatch):
+    seen = []
+
+    class Fake:
+        def encode(self, group, num_threads):
+            seen.append([len(x.encode()) for x in group])
+            return [x.split() for x in group]
+
+    monkeypatch.setattr(counts, "_model", lambda path: (Fake(), True))
+    values = ["\u65e5" * 30_000, "a" * 30_000, "b c"] * 12
+    got = counts.count_tokens(values, [len(v.encode()) for v in values], "x")
+    assert got == [len(v.split()) for v in values]
+    assert all(counts.GROUP_BYTES <= sum(x) < counts.GROUP_BYTES + 90_001 for x in seen[:-1]) and len(seen) > 2
