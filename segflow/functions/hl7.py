@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 FIELD_SEP = r"\|"
 REP_SEP = "~"
 COMP_SEP = r"\^"
+PLACE = 1_000_000_000       # a place as one number: field * PLACE + component
 
 
 def sql_str(value: str) -> str:
@@ -90,25 +91,29 @@ def field_entries_sql(seg_id: str, fields: str, excluded_fields: list[int],
     field's repetitions are split once and bound to a lambda variable.
     """
     seg = seg_id.lower()
-    # Literal IN lists become hash-set look-ups.
+    # Entries carry their place as one number until the filter is through: literal IN
+    # lists become hash-set look-ups, and keys are spelt for the entries that stay.
+    places = [tuple(map(int, k.split("_")[1:])) for k in excluded_keys]
+    plain = sorted({f for f, c in places if c == 1})
     ex_f = f"i IN ({', '.join(str(i) for i in sorted(excluded_fields))})" if excluded_fields else "false"
-    ex_k = f"e.key IN ({', '.join(sql_str(k) for k in sorted(excluded_keys))})" if excluded_keys else "false"
-    empty = "CAST(array() AS array<struct<key:string,value:string>>)"
-    per_comp = (f"c -> named_struct('key', concat({sql_str(seg + '_')}, CAST(i AS STRING), '_', "
-                f"CAST(c AS STRING)), 'value', aggregate(reps, CAST(NULL AS STRING), "
+    # A field whose one value stands at an excluded place gives nothing.
+    ex_f += f" OR (i IN ({', '.join(map(str, plain))}) AND NOT contains(f, '^') AND NOT contains(f, '~'))" if plain else ""
+    ex_k = f"e.at IN ({', '.join(f'{f * PLACE + c}L' for f, c in sorted(places))})" if places else "false"
+    empty = "CAST(array() AS array<struct<at:bigint,value:string>>)"
+    per_comp = (f"c -> named_struct('at', i * {PLACE}L + c, 'value', aggregate(reps, CAST(NULL AS STRING), "
                 f"(acc, r) -> CASE WHEN trim(get(r, c - 1)) <> '' THEN get(r, c - 1) ELSE acc END))")
     with_reps = (f"reps -> transform(sequence(1, array_max(transform(reps, r -> size(r)))), "
                  f"{per_comp})")
     reps = (f"transform(split(f, {sql_str(REP_SEP)}), r -> split(r, {sql_str(COMP_SEP)}))")
     # Fast path for a field without repetitions: its components in one pass.
-    single = (f"transform(split(f, {sql_str(COMP_SEP)}), (v, j) -> named_struct('key', "
-              f"concat({sql_str(seg + '_')}, CAST(i AS STRING), '_', CAST(j + 1 AS STRING)), "
+    single = (f"transform(split(f, {sql_str(COMP_SEP)}), (v, j) -> named_struct('at', i * {PLACE}L + j + 1, "
               f"'value', CASE WHEN trim(v) <> '' THEN v END))")
     per_field = (f"(f, i) -> CASE WHEN i = 0 OR trim(f) = '' OR {ex_f} "
                  f"THEN {empty} WHEN NOT contains(f, '~') THEN {single} "
                  f"ELSE get(transform(array({reps}), {with_reps}), 0) END")
-    return (f"filter(flatten(transform({fields}, {per_field})), "
-            f"e -> e.value IS NOT NULL AND NOT {ex_k})")
+    key = f"concat({sql_str(seg + '_')}, CAST(e.at div {PLACE}L AS STRING), '_', CAST(e.at % {PLACE}L AS STRING))"
+    return (f"transform(filter(flatten(transform({fields}, {per_field})), "
+            f"e -> e.value IS NOT NULL AND NOT {ex_k}), e -> named_struct('key', {key}, 'value', e.value))")
 
 
 # Column forms --------------------------------------------------------------

@@ -124,8 +124,14 @@ def flatten_wide(envelopes: DataFrame,
     """
     rules = rules or layout.ignore_rules()
     segs = [s.lower() for s in segments]
-    keep = [ident(k) for k in keep]
     cols = layout.wide_columns(segs, numbered=numbered, rules=rules, field_map=field_map)
+    return _read_columns(envelopes, cols, segs, keep, numbered, extras, rename, rules, field_map)
+
+
+def _read_columns(envelopes: DataFrame, cols: list[layout.Column], segs: list[str], keep: Iterable[str], numbered: bool = False,
+                  extras: bool = False, rename: bool = True, rules: layout.IgnoreRules | None = None,
+                  field_map=layout.FIELD_MAP) -> DataFrame:
+    keep = [ident(k) for k in keep]
     used = [s for s in segs if extras or any(c.pos.segment == s for c in cols)]
 
     split = envelopes.selectExpr(*keep, *[
@@ -151,6 +157,49 @@ def flatten_wide(envelopes: DataFrame,
     return parts.selectExpr(*out)
 
 
+def observed_places(envelopes: DataFrame, segments: Iterable[str] = layout.HL7_SEGMENTS) -> list[tuple[str, int, int]]:
+    """(segment, field, component) of every place that holds a value somewhere.
+
+    Every value of a segment is first written as one `x`, so messages that fill the
+    same places look alike: these shapes fold in every map task, and only different
+    ones are taken apart.  The places are few (they name columns) and are collected.
+    """
+    segs = [s.lower() for s in segments]
+    value = sql_str("[^|~^]*[^|~^ ][^|~^]*")
+    structs = ", ".join(
+        f"named_struct('seg', {sql_str(s)}, 'shape', CASE WHEN startswith({t}, {sql_str(s.upper() + '|')}) "
+        f"THEN regexp_replace({t}, {value}, 'x') END)" for s in segs for t in [_segment_text(envelopes, s)])
+    shapes = envelopes.selectExpr(f"inline(array({structs}))").where("shape IS NOT NULL").distinct()
+    split = shapes.selectExpr("seg", f"split(shape, {sql_str(hl7.FIELD_SEP)}) AS fields")
+    places = _explode_fields(split, []).select("seg", "field", "comp").distinct()
+    return sorted((r.seg, r.field, r.comp) for r in places.collect())
+
+
+def flatten_observed(envelopes: DataFrame, keep: Iterable[str] = ("patientid", "dob"),
+                     segments: Iterable[str] = layout.HL7_SEGMENTS, rules: layout.IgnoreRules | None = None,
+                     field_map=layout.FIELD_MAP, places: Iterable[tuple[str, int, int]] | None = None) -> DataFrame:
+    """Union-of-keys widening.  Columns are what the data contains, names sorted:
+    mapped places under their business names, others that are not ignored under
+    positional ones; missing values NULL.
+
+    `places` are found by `observed_places` unless given (from another frame with the
+    same places, such as the envelopes before a dedupe, or from a registry).  Values
+    are read like those of `flatten_wide`; no map is built.
+    """
+    rules = rules or layout.ignore_rules()
+    segs = [s.lower() for s in segments]
+    seen = sorted(observed_places(envelopes, segs) if places is None else places)
+    cols = {c.name: c for c in layout.wide_columns(segs, rules=rules, field_map=field_map)
+            if (c.pos.segment, c.pos.field, c.pos.component) in set(seen)}
+    for s in segs:
+        fields, keys = extras_exclusions(s, rules, field_map)
+        for seg, f, c in seen:
+            key = f"{seg}_{f}_{c}"
+            if seg == s and f not in fields and key not in keys and key not in cols:
+                cols[key] = layout.Column(key, key, layout.Position(seg, f, "", c, None))
+    return _read_columns(envelopes, [cols[n] for n in sorted(cols)], segs, keep)
+
+
 def segments_long(envelopes: DataFrame,
                   segments: Iterable[str] = layout.HL7_SEGMENTS,
                   keep: Iterable[str] = ("patientid", "id")) -> DataFrame:
@@ -234,8 +283,7 @@ def repetition_entries(seg: str, rules: layout.IgnoreRules, field_map=layout.FIE
     """SQL: entries of the mapped positions of `seg` whose repetition has no
     business name in numbered mode, under `seg_field_comp_rep` keys.
 
-    A field without a repetition mark only has repetition 1; it is split only
-    if some position of it does not name that one.
+    Places are compared as numbers; keys are spelt for the entries that stay.
     """
     listed = {k: v for k, v in layout.listed_repetitions(field_map).items() if k.startswith(seg + "_")}
     taken = {f"{k}_{r}" for k, reps in listed.items() for r in reps}
@@ -246,13 +294,20 @@ def repetition_entries(seg: str, rules: layout.IgnoreRules, field_map=layout.FIE
     for f in sorted({int(k.split("_")[1]) for k in mapped}):
         keys = sorted(k for k in mapped if int(k.split("_")[1]) == f)
         text = hl7.field_sql(fields, f)
-        once = all(1 in listed[k] for k in keys)
+        # Repetitions 1 to `named` have a name at every mapped place of the field, so a
+        # text that holds no more of them is not split.
+        named = min(next(r for r in range(len(listed[k]) + 1) if r + 1 not in listed[k]) for k in keys)
+        comps = ", ".join(str(k.split("_")[2]) for k in keys)
+        spots = [tuple(map(int, t.split("_")[2:])) for t in sorted(taken) if t.startswith(f"{seg}_{f}_")]
         entries = (f"flatten(transform(split({text}, {sql_str(hl7.REP_SEP)}), (r, i) -> "
-                   f"transform(split(r, {sql_str(hl7.COMP_SEP)}), (v, j) -> named_struct('key', "
-                   f"concat('{seg}_{f}_', CAST(j + 1 AS STRING), '_', CAST(i + 1 AS STRING)), 'value', v))))")
-        kept = (f"filter({entries}, e -> trim(e.value) <> '' AND {_in_list('substring_index(e.key, ' + chr(39) + '_' + chr(39) + ', 3)', keys)} "
-                f"AND NOT {_in_list('e.key', taken)})")
-        parts.append(f"CASE WHEN contains({text}, '~') THEN {kept} END" if once else kept)
+                   f"transform(split(r, {sql_str(hl7.COMP_SEP)}), (v, j) -> "
+                   f"named_struct('comp', j + 1, 'rep', i + 1, 'value', v))))")
+        at = f"e.comp * {hl7.PLACE}L + e.rep"
+        kept = (f"filter({entries}, e -> e.comp IN ({comps}) AND trim(e.value) <> '' AND NOT "
+                + (f"{at} IN ({', '.join(f'{c * hl7.PLACE + r}L' for c, r in spots)})" if spots else "false") + ")")
+        spelt = (f"transform({kept}, e -> named_struct('key', concat('{seg}_{f}_', CAST(e.comp AS STRING), '_', "
+                 f"CAST(e.rep AS STRING)), 'value', e.value))")
+        parts.append(f"CASE WHEN substring_index({text}, '~', {named}) <> {text} THEN {spelt} END" if named else spelt)
     if not parts:
         return None
     return "concat(" + ", ".join(f"coalesce({p}, CAST(array() AS {ENTRY_TYPE}))" for p in parts) + ")"

@@ -452,6 +452,9 @@ def queries() -> dict[str, str]:
         "adt_observed_wide": q_observed_wide(),
         "adt_truncate_names": q_truncate_names(),
         "adt_document_scan": q_document_scan(),
+        "adt_document_store": q_document_scan(),
+        "adt_json_variant": q_inferred(),
+        "adt_observed_append": q_observed_wide(),
         "adt_dead_letter": q_dead_letter(),
         "adt_dead_letter_good": q_dead_letter_good(),
         "adt_dead_letter_replay": q_dead_letter_replay(),

@@ -18,8 +18,9 @@ from segflow.plans.oracle import (ARCHIVE_YEAR, DECLARED_SEGMENTS, EVOLUTION_CUT
                                   REFERRAL_CUTOFF)
 from segflow.sinks import tables
 from segflow.sinks.patient_table import PatientTable
-from segflow.sources import derived, envelope
+from segflow.sources import derived, documents, envelope
 from segflow.sources.catchup import CatchUp, table_reader
+from segflow.sources.inferred import read_json_variant
 
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +94,9 @@ def adt_extras_map(spark, sf_dir):
 
 
 def adt_observed_wide(spark, sf_dir):
-    wide = extract.flatten_wide(_envelopes(spark, sf_dir), extras=True)
-    return shape.observed_wide(wide, materialize=True)
+    # Copies of an envelope fill the same places, so these are found before the dedupe.
+    raw = shape.lower_case_names(derived.derived_envelopes(spark, sf_dir))
+    return extract.flatten_observed(raw.dropDuplicates(), places=extract.observed_places(raw))
 
 
 def adt_truncate_names(spark, sf_dir):
@@ -106,6 +108,13 @@ def adt_document_scan(spark, sf_dir):
     return shape.lower_case_names(envelope.scan_documents(docs, prefix="pid_"))
 
 
+def adt_document_store(spark, sf_dir):
+    """S3 on a store in key order: the prefix is an interval of keys."""
+    path = session.work_path(spark, "store")
+    documents.write_document_store(derived.derived_documents(derived.derived_envelopes(spark, sf_dir)), path)
+    return shape.lower_case_names(documents.scan_store(spark, path, "pid_"))
+
+
 def _damaged_documents(spark, sf_dir):
     """(key, json) documents of which some have a foreign PID segment, no
     patient, or text that is no JSON."""
@@ -288,6 +297,12 @@ def adt_json_inferred(spark, sf_dir):
         envelope.read_json_envelopes(spark, path, schema=None, multiline=False))
 
 
+def adt_json_variant(spark, sf_dir):
+    """S2 with one parse: names and values from VARIANT."""
+    good, _ = read_json_variant(spark, _json_dir(spark, sf_dir))
+    return shape.lower_case_names(good.dropDuplicates())
+
+
 def adt_message_table(spark, sf_dir):
     env = derived.derived_envelopes(spark, sf_dir)
     body = F.to_json(F.struct(*[F.col(c) for c in env.columns]))
@@ -368,6 +383,18 @@ def adt_evolving_append(spark, sf_dir):
     return tables.read_committed(spark, path)
 
 
+def adt_observed_append(spark, sf_dir):
+    """P6 + K2: each append has the columns that its own rows hold; the table's columns
+    are the first-seen log, no pass over the table finds them."""
+    path = session.work_path(spark, "observed")
+    env = _envelopes(spark, sf_dir)
+    early_flag = F.coalesce(patients.parse_updated("updatedat") < patients.wall_clock(EVOLUTION_CUTOFF), F.lit(False))
+    with session.written(env.withColumn("early", early_flag), "batches") as rows:
+        for run, part in (("early", rows.where("early")), ("late", rows.where("NOT early"))):
+            tables.append_once(extract.flatten_observed(part), path, run)
+    return tables.read_committed(spark, path)
+
+
 def adt_archive_written(spark, sf_dir):
     """K4 + S5: the archive written by date, then one year of it read by prefix."""
     path = session.work_path(spark, "archive")
@@ -444,6 +471,9 @@ QUERIES = {
     "adt_observed_wide": adt_observed_wide,
     "adt_truncate_names": adt_truncate_names,
     "adt_document_scan": adt_document_scan,
+    "adt_document_store": adt_document_store,
+    "adt_json_variant": adt_json_variant,
+    "adt_observed_append": adt_observed_append,
     "adt_dead_letter": adt_dead_letter,
     "adt_dead_letter_good": adt_dead_letter_good,
     "adt_dead_letter_replay": adt_dead_letter_replay,
