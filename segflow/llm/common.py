@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import gc
+import itertools
 import os
 import tempfile
 import time
 import zipfile
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segflow.session import checkpoint_dir
+from segflow.session import checkpoint_dir, remove_path, work_path
 
 
 def ship(spark: SparkSession) -> None:
@@ -78,6 +80,28 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """For loops: a function that writes a frame to the shared folder and reads it back.
+
+    A checkpoint keeps the size that was estimated for its plan, and joins multiply
+    such estimates: over some rounds they become numbers of millions of digits and
+    planning stands still.  A written table has its own size.  All of them are removed
+    at the end of the block, so what leaves it must be cut before.
+    """
+    base, numbers = work_path(spark, name), itertools.count()
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{base}/{next(numbers)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        remove_path(spark, base)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of plans that a cut has replaced.
 

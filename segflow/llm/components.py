@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import cut
+from segflow.llm.common import cut, scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,16 +35,17 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     """
     edges = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where("u <> v").distinct())
-    edges = cut(edges)
-    state = None
-    for _ in range(max_rounds):
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state or seen[0] == 0:
-            break
-        state = seen
-        edges = cut(_small_star(_large_star(edges).distinct()).distinct())
-    else:
-        raise RuntimeError("components did not settle")
-    return (edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
-            .unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("label")))
-            .groupBy("id").agg(F.min("label").alias("label")))
+    with scratch(links.sparkSession, "components") as keep:
+        edges = keep(edges)
+        state = None
+        for _ in range(max_rounds):
+            seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if seen == state or seen[0] == 0:
+                break
+            state = seen
+            edges = keep(_small_star(_large_star(edges).distinct()).distinct())
+        else:
+            raise RuntimeError("components did not settle")
+        return cut(edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
+                   .unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("label")))
+                   .groupBy("id").agg(F.min("label").alias("label")))

@@ -9,10 +9,14 @@
 3. Banding: representatives that agree on all slots of a band meet in a bucket.
 4. Verification on full sets.  In each bucket every member is compared with the
    bucket's pivot, the member that meets most others in all its buckets (in a
-   group of edited copies, the text nearest to all).  Pairs of members that this
-   leaves open (neither the pivot, different components) are searched exactly by
-   prefix filtering: if two sets overlap enough, their rarest shingles meet.  Only
-   rows outside a shingle's largest component look for partners there.
+   group of edited copies, the text nearest to all).  Where members are left in
+   different components, further rounds compare them with other pivots, one a bucket
+   and round, as long as components go on merging: a family of texts that hang
+   together by chains is joined with a number of pairs that is linear in its size.
+   Pairs that this leaves open (neither a pivot, different components) are searched
+   exactly by prefix filtering: if two sets overlap enough, their rarest shingles
+   meet.  Only rows outside a shingle's largest component look for partners there,
+   and a frequent shingle's partners are dealt over blocks.
 5. Union-find grouping over verified links by star contraction.
 
 No bucket is capped and no group is expanded into all pairs; copies in excess of
@@ -28,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import arrow_map, cut, texts
+from segflow.llm.common import arrow_map, cut, scratch, texts
 from segflow.llm.components import components
 from segflow.llm.textops import U, Words, chunks, mix
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5         # misses a pair at 0.85 with probability 8e-7
+STALLED = 20                # the last round finds less than one link for so many open groups
+BLOCK = 512                 # partners at a shingle that stand in one block
 FRACTION = 25               # bits of a rank below its level, so at most 128 slots
 
 
@@ -190,13 +196,25 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int
 
     # Pairs that the pivots leave open: members of one bucket, neither its pivot,
     # in different components.
-    named = met.where("c > 2 AND rep <> pivot").select("k", F.col("rep").alias("id"))
-    named = named.join(labels, "id", "left").select("k", "id", F.coalesce("label", "id").alias("label"))
-    unsettled = (named.groupBy("k").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("lo < hi").select("k", "lo").repartition("lo", "k").select("k"))
-    rest = cut(named.join(unsettled, "k").select("id", "label").distinct())
-    more = cut(_verified(_prefix_pairs(rest, sets, percent), sets, percent))
-    final = components(links.unionByName(more), "a", "b")
+    members = met.where("c > 2 AND rep <> pivot").select("k", F.col("rep").alias("id"), "n")
+    with scratch(src.sparkSession, "near") as keep:
+        named = keep(_open(members, labels))
+        groups = found = named.select("k", "label").distinct().count()
+        while groups and found * STALLED >= groups:
+            # Any member will do as a pivot; the hash takes another one in each bucket.
+            chosen = named.groupBy("k").agg(F.min(F.struct(F.xxhash64("k", "id").alias("h"), "id", "n", "label")).alias("p"))
+            chosen = chosen.select("k", F.col("p.id").alias("pivot"), F.col("p.n").alias("n_b"), F.col("p.label").alias("label_b"))
+            named = keep(named.join(chosen.repartition("pivot", "k"), "k").where("id <> pivot"))
+            tried = keep(named.where("label <> label_b").withColumnRenamed("n", "n_a").where(_fits(percent))
+                         .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct())
+            more = keep(_verified(tried, sets, percent))
+            found = more.count()
+            labels = keep(_relabelled(labels, more)) if found else labels
+            named = keep(_open(named.select("k", "id", "n"), labels))
+            groups = named.select("k", "label").distinct().count()
+        rest = keep(named.select("id", "label").distinct())
+        more = keep(_verified(_prefix_pairs(rest, sets, percent), sets, percent))
+        final = cut(_relabelled(labels, more))
 
     ids = (classes.select(*of_class, "rep").join(final.withColumnRenamed("id", "rep"), "rep", "left")
            .select(*of_class, F.coalesce("label", "rep").alias("component_id")).repartition("component_id"))
@@ -207,6 +225,28 @@ def near_dedup(docs: DataFrame, percent: int = 85, bands: int = BANDS, rows: int
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _label(rows: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
+    """`rows` with the component of `column` as `out`; without a link it is the id itself."""
+    known = labels.select(F.col("id").alias(column), F.col("label").alias("_known"))
+    return rows.join(known, column, "left").withColumn(out, F.coalesce("_known", column)).drop("_known")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(k, id, n, label) of the buckets whose members stand in several components."""
+    named = _label(members, labels, "id", "label")
+    unsettled = (named.groupBy("k").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("lo < hi").select("k", "lo").repartition("lo", "k").select("k"))
+    return named.join(unsettled, "k").select("k", "id", "n", "label")
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: only components that the links join change."""
+    ends = _label(_label(links, labels, "a", "u"), labels, "b", "v").select("u", "v")
+    joined = components(ends, "u", "v").select(F.col("id").alias("label"), F.col("label").alias("least"))
+    known = labels.unionByName(joined.select(F.col("label").alias("id"), "label")).distinct()
+    return known.join(joined, "label", "left").select("id", F.coalesce("least", "label").alias("label"))
+
+
 def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All (a, b) of different labels that prefix filtering cannot rule out.
 
@@ -222,18 +262,20 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     order = Window.partitionBy("id").orderBy("f", "t")
     kept = common.withColumn("r", F.row_number().over(order)).withColumn("m", F.count("t").over(Window.partitionBy("id")))
     kept = kept.withColumn("p", F.expr("r + n - m"))            # place among all shingles of the set
-    prefix = kept.where(F.expr(f"p <= n - ceil({percent} * n / 100) + 1")).select("t", "id", "label", "n", "p")
+    kept = kept.withColumn("blocks", F.expr(f"ceil(f / {BLOCK})"))
+    prefix = kept.where(F.expr(f"p <= n - ceil({percent} * n / 100) + 1")).select("t", "id", "label", "n", "p", "blocks")
     prefix = cut(prefix)
     per = prefix.groupBy("t", "label").agg(F.count(F.lit(1)).alias("c"))
     main = (per.groupBy("t").agg(F.max(F.struct("c", "label")).alias("x"), F.count(F.lit(1)).alias("labels"))
             .where("labels > 1").select("t", F.col("x.label").alias("main")).repartition("main", "t"))
     mixed = cut(prefix.join(main, "t"))
-    a = mixed.where("label <> main").select("t", F.col("id").alias("x"), F.col("label").alias("label_x"),
+    a = mixed.where("label <> main").select("t", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"),
+                                          F.col("id").alias("x"), F.col("label").alias("label_x"),
                                           F.col("n").alias("n_a"), F.col("p").alias("p_a"))
-    b = mixed.select("t", F.col("id").alias("y"), F.col("label").alias("label_y"), F.col("n").alias("n_b"),
-                     F.col("p").alias("p_b"))
+    b = mixed.select("t", F.expr("pmod(xxhash64(id), blocks)").alias("block"), F.col("id").alias("y"),
+                     F.col("label").alias("label_y"), F.col("n").alias("n_b"), F.col("p").alias("p_b"))
     # At the first shingle that both hold, enough places must be left in each.
     need = f"ceil({percent} * (n_a + n_b) / {100 + percent})"
-    found = (a.join(b, "t").where("label_x <> label_y").where(_fits(percent))
+    found = (a.join(b, ["t", "block"]).where("label_x <> label_y").where(_fits(percent))
              .where(F.expr(f"n_a - p_a + 1 >= {need} AND n_b - p_b + 1 >= {need}")))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -1,5 +1,7 @@
 """Exact, near and substring dedup against plain versions."""
 
+import random
+
 import pytest
 
 from segflow.llm import near_dedup as near_module
@@ -126,3 +128,47 @@ def test_substring_of_one_id_on_two_texts(spark):
             (3, " ".join(short + short)), (3, " ".join(lone[:13]) + " x " + " ".join(lone[:13]))]
     got = substring_dedup(frame(spark, rows)).collect()
     assert sorted(map(tuple, got)) == sorted(brute.strip_repeats(rows))
+
+
+def family(n, seed=1, words=200, changes=2):
+    """Texts of one template with a few words changed: near the threshold, linked by chains."""
+    rnd = random.Random(seed)
+    template = [f"w{k}" for k in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(template)
+        for k in rnd.sample(range(words), changes):
+            w[k] = f"x{rnd.randrange(10 ** 9)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_pairs_of_a_template_family_grow_linearly(spark, monkeypatch):
+    from segflow.llm import near_dedup as module
+
+    tried, plain = [], module._verified
+
+    def counting(pairs, sets, percent):
+        tried.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(module, "_verified", counting)
+    sums = {}
+    for n in (100, 400):
+        tried.clear()
+        rows = family(n)
+        got = {r.doc_id: r.component_id for r in module.near_dedup(frame(spark, rows), percent=85).collect()}
+        assert got == brute.near(rows, 85)
+        sums[n] = sum(tried)
+    assert sums[400] < 6 * sums[100] and sums[400] < 400 * 399 / 2 / 3, sums
+
+
+def test_open_pairs_in_blocks(spark, monkeypatch):
+    """The exact search alone, its frequent shingles in blocks of a few rows."""
+    from segflow.llm import near_dedup as module
+
+    monkeypatch.setattr(module, "BLOCK", 3)
+    monkeypatch.setattr(module, "STALLED", 0)           # no round at all
+    rows = family(40, seed=5, changes=3) + [(100 + i, t.replace("w1", "y1")) for i, t in family(25, seed=6)]
+    got = {r.doc_id: r.component_id for r in module.near_dedup(frame(spark, rows), percent=85).collect()}
+    assert got == brute.near(rows, 85)
