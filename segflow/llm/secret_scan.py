@@ -7,14 +7,19 @@ that overlap no base span and pass two questions.
 * Randomness battery, for the inferred encoding (hex, base32, base36, base64 or
   letters): a chi-squared test of uniformity over eight equal parts of the
   alphabet and over character classes, a runs test about the alphabet's middle,
-  and the lag-one serial correlation; their p-values are combined by Fisher's
+  and the lag-one serial correlation, with letter case and without it; their p-values are combined by Fisher's
   rule.  A token that the battery refutes as random is dropped.
-* Evidence against ordinary text, the better of two (twice the smaller p-value).
-  The number of changes of character class (lower, upper, digit, other) under a
-  null of SWITCH changes a place.  And the likelihood of the token under the
-  character pairs of ordinary text over its likelihood as a random token of its
-  encoding, a p-value by Markov's inequality, which also speaks for tokens of one
-  class.  Pairs are counted, letter case aside, over all runs of the corpus that
+* Evidence against ordinary text, the best of five (five times the least p-value).
+  Three are the battery's statistics turned round, each under the null that the
+  token is ordinary text of its encoding and length: chi-squared over eight parts of
+  the alphabet (ordinary text is uneven, so its statistic is large), the changes
+  between the alphabet's halves (runs), and the product of neighbours (serial
+  correlation).  Their null means and variances follow from the corpus's own pairs.
+  The fourth is the number of changes of character class (lower, upper, digit, other)
+  under a null of SWITCH changes a place.  The fifth is the likelihood of the token
+  under the character pairs of ordinary text over its likelihood as a random token of
+  its encoding, a p-value by Markov's inequality.
+  Pairs are counted, letter case aside, over all runs of the corpus that
   are too short to be tokens, each run by the root of its number, so that a few
   frequent words do not stand for all text.  Refuted tokens count with a p-value of 1.  Over all
   tokens of the corpus the false discovery rate is held at RATE by Benjamini and
@@ -68,14 +73,44 @@ def _spans(pattern: str) -> str:
     so the running length of both is the place of each match.
     """
     p = f"r'{pattern}'"
-    kind = "array<struct<s:int,e:int,m:string>>"
+    kind = "struct<s:int,e:int,m:string>"
+    new = "named_struct('s', a.at + x.p, 'e', a.at + x.p + char_length(x.m), 'm', x.m)"
     return (f"CASE WHEN text RLIKE {p} THEN aggregate("
             f"zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), "
             f"(p, m) -> named_struct('p', char_length(p), 'm', m)), "
-            f"named_struct('at', 0, 'out', CAST(array() AS {kind})), "
-            f"(a, x) -> IF(x.m IS NULL, a, named_struct('at', a.at + x.p + char_length(x.m), 'out', "
-            f"concat(a.out, array(named_struct('s', a.at + x.p, 'e', a.at + x.p + char_length(x.m), 'm', x.m))))), "
-            f"a -> a.out) ELSE CAST(array() AS {kind}) END")
+            f"named_struct('at', 0, {_EMPTY.format(kind=kind)}), "
+            f"(a, x) -> IF(x.m IS NULL, a, named_struct('at', a.at + x.p + char_length(x.m), {_added(new)})), "
+            f"a -> flatten(concat(a.out, array(a.cur)))) ELSE CAST(array() AS array<{kind}>) END")
+
+
+# A list that grows inside an aggregate: it is copied at each step, so it is kept in
+# blocks of BLOCK and put together once.
+BLOCK = 256
+_EMPTY = "'cur', CAST(array() AS array<{kind}>), 'out', CAST(array() AS array<array<{kind}>>)"
+
+
+def _added(new: str) -> str:
+    """SQL: the two list fields of the state `a` with one entry more."""
+    return (f"'cur', IF(size(a.cur) >= {BLOCK}, array({new}), concat(a.cur, array({new}))), "
+            f"'out', IF(size(a.cur) >= {BLOCK}, concat(a.out, array(a.cur)), a.out)")
+
+
+def _apart() -> str:
+    """SQL: the tokens that overlap no base span, in one walk over both in order.
+
+    Tokens are apart from each other, so only the last one may reach past the start
+    of a base span; it is held back until the next event is known to be behind it."""
+    kind = "struct<s:int,e:int,m:string>"
+    events = ("array_sort(concat(transform(base, x -> named_struct('s', x.s, 'k', 0, 'e', x.e, 'm', CAST(NULL AS string))), "
+              "transform(token, x -> named_struct('s', x.s, 'k', 1, 'e', x.e, 'm', x.m))))")
+    kept = "IF(a.held.m IS NULL, named_struct('cur', a.cur, 'out', a.out), named_struct(" + _added("a.held") + "))"
+    none = f"CAST(named_struct('s', 0, 'e', 0, 'm', NULL) AS {kind})"
+    return (f"aggregate({events}, named_struct('upto', 0, 'held', {none}, {_EMPTY.format(kind=kind)}), (a, x) -> "
+            f"IF(x.k = 0, named_struct('upto', greatest(a.upto, x.e), 'held', IF(a.held.e > x.s, {none}, a.held), "
+            f"'cur', a.cur, 'out', a.out), "
+            f"named_struct('upto', a.upto, 'held', IF(a.upto > x.s, {none}, named_struct('s', x.s, 'e', x.e, 'm', x.m)), "
+            f"'cur', {kept}.cur, 'out', {kept}.out)), "
+            f"a -> flatten(concat({kept}.out, array({kept}.cur))))")
 
 
 def _upper_tail(z: str) -> str:
@@ -120,7 +155,71 @@ def _log_ratios(pairs: dict[str, int]) -> list[float]:
     return steps + starts
 
 
-def _battery(tokens: DataFrame, ratios: list[float]) -> DataFrame:
+# Numbers of an encoding under the null of ordinary text, after its three lists.
+MOMENTS = ("chi_mean", "chi_mean_n", "chi_var", "chi_var_n", "turn_random", "turn", "product", "product_var")
+
+
+def _ordinary(pairs: dict[str, int]) -> list[float]:
+    """For each encoding: of every folded symbol its part (0 to 7), its half (0 or 1)
+    and its value, standardised for a random token; then MOMENTS.
+
+    Ordinary text is a chain of the corpus's pairs, smoothed like in `_log_ratios`."""
+    out: list[float] = []
+    for weights in ENCODINGS.values():
+        symbols = [c for c in FOLDED if c in weights]
+        whole = sum(weights.values())
+        r = [weights[c] / whole for c in symbols]
+        middle = [sum(r[:k]) + r[k] / 2 for k in range(len(r))]
+        part = [min(7, int(8 * m)) for m in middle]
+        half = [int(m >= 0.5) for m in middle]
+        mean = sum(x * m for x, m in zip(r, middle))
+        sd = sum(x * (m - mean) ** 2 for x, m in zip(r, middle)) ** 0.5
+        value = [(m - mean) / sd for m in middle]
+        chain = []
+        for a in symbols:
+            total = sum(pairs.get(a + c, 0) for c in symbols) + len(symbols)
+            chain.append([(pairs.get(a + c, 0) + len(symbols) * x) / total for c, x in zip(symbols, r)])
+        starts = [sum(pairs.get(c + x, 0) for x in FOLDED) + len(symbols) * x for c, x in zip(symbols, r)]
+        q = [x / sum(starts) for x in starts]
+        big_r, big_q = ([sum(x for x, y in zip(v, part) if y == j) for j in range(8)] for v in (r, q))
+        both = [(x, y) for x, y in zip(big_r, big_q) if x > 0]
+        slope = sum((y - x) * y / x for x, y in both)
+        pull = [(q[a] * p, a, b) for a, row in enumerate(chain) for b, p in enumerate(row)]
+        product = sum(w * value[a] * value[b] for w, a, b in pull)
+        moments = [sum(y * (1 - y) / x for x, y in both), sum((y - x) ** 2 / x for x, y in both), 14.0,
+                   # A chain's counts vary more than independent ones: twice their variance.
+                   2 * 4 * max(0.0, sum((y - x) ** 2 * y / x ** 2 for x, y in both) - slope ** 2),
+                   2 * sum(x for x, h in zip(r, half) if h) * sum(x for x, h in zip(r, half) if not h),
+                   sum(w for w, a, b in pull if half[a] != half[b]), product,
+                   max(1e-9, sum(w * (value[a] * value[b]) ** 2 for w, a, b in pull) - product ** 2)]
+        of = {c: k for k, c in enumerate(symbols)}
+        out += [float(v[of[c]]) if c in of else 0.0 for v in (part, half, value) for c in FOLDED] + moments
+        out += [big_r[j] for j in range(8)]
+    return out
+
+
+def _turned_round() -> list[str]:
+    """SQL: p-values of chi-squared, runs and serial correlation against ordinary text."""
+    size, width = len(FOLDED), 3 * len(FOLDED) + len(MOMENTS) + 8
+
+    def at(place: str) -> str:
+        return f"get(ordinary, enc * {width} + {place})"
+
+    m = {name: at(str(3 * size + k)) for k, name in enumerate(MOMENTS)}
+    share = at(f"{3 * size + len(MOMENTS)} + j")
+    chi = (f"aggregate(sequence(0, 7), 0D, (a, j) -> a + IF({share} > 0, pow(size(filter(f, y -> {at('y')} = j)) - n * {share}, 2) "
+           f"/ (n * greatest({share}, 1e-9)), 0D))")
+    turns = f"size(filter(sequence(1, CAST(n AS int) - 1), i -> {at(f'{size} + f[i]')} <> {at(f'{size} + f[i - 1]')}))"
+    product = (f"aggregate(sequence(1, CAST(n AS int) - 1), 0D, (a, i) -> a + {at(f'{2 * size} + f[i]')} * "
+               f"{at(f'{2 * size} + f[i - 1]')}) / (n - 1)")
+    low = f"(({m['chi_mean']} + n * {m['chi_mean_n']} - {chi}) / sqrt({m['chi_var']} + n * {m['chi_var_n']}))"
+    side = f"IF({m['turn_random']} >= {m['turn']}, 1D, -1D)"
+    often = (f"({side} * ({turns} - (n - 1) * {m['turn']}) - 0.5) / sqrt(greatest(1e-9, (n - 1) * {m['turn']} * (1 - {m['turn']})))")
+    near = f"(IF({m['product']} >= 0, 1D, -1D) * ({m['product']} - {product}) / sqrt({m['product_var']} / (n - 1)))"
+    return [_upper_tail(z) for z in (low, f"({often})", near)]
+
+
+def _battery(tokens: DataFrame, ratios: list[float], ordinary: list[float]) -> DataFrame:
     """Adds refuted (combined p-value of the battery) and p0 (against ordinary text)
     to rows with a token m."""
     body = F.regexp_replace("m", "=+$", "")
@@ -132,9 +231,12 @@ def _battery(tokens: DataFrame, ratios: list[float]) -> DataFrame:
         f"WHEN b RLIKE '^[a-z0-9]+$' THEN '{DIGITS}{LOWER}' WHEN b RLIKE '^[A-Z0-9]+$' THEN '{DIGITS}{UPPER}' "
         f"ELSE '{UPPER}{LOWER}{DIGITS}+/_-' END"))
     t = t.withColumn("k", F.expr("IF(char_length(alphabet) > 64, 64, char_length(alphabet))"))
-    t = t.withColumn("v", F.expr("transform(sequence(1, CAST(n AS int)), i -> least(k - 1, instr(alphabet, substr(b, i, 1)) - 1))"))
-    t = t.withColumn("c", F.expr("transform(sequence(1, CAST(n AS int)), i -> CASE WHEN substr(b, i, 1) RLIKE '[0-9]' THEN 0 "
-                                 "WHEN substr(b, i, 1) RLIKE '[a-z]' THEN 1 WHEN substr(b, i, 1) RLIKE '[A-Z]' THEN 2 ELSE 3 END)"))
+    # Cut into characters once: a substr of place i walks over i characters.
+    t = t.withColumn("ch", F.expr("split(b, '')"))
+    t = t.withColumn("v", F.expr("transform(ch, x -> least(k - 1, instr(alphabet, x) - 1))"))
+    t = t.withColumn("c", F.expr("transform(ch, x -> CASE WHEN x BETWEEN '0' AND '9' THEN 0 "
+                                 "WHEN x BETWEEN 'a' AND 'z' THEN 1 WHEN x BETWEEN 'A' AND 'Z' THEN 2 ELSE 3 END)"))
+    t = t.withColumn("f", F.expr(f"transform(ch, x -> instr('{FOLDED}', lower(x)) - 1)"))
     # Uniformity over eight equal parts of the alphabet, and over its classes.
     t = t.withColumn("x8", F.expr("aggregate(sequence(0, 7), 0D, (a, j) -> a + pow(size(filter(v, y -> CAST(floor(y * 8 / k) AS int) = j)) "
                                   "- n / 8, 2) / (n / 8))"))
@@ -149,12 +251,16 @@ def _battery(tokens: DataFrame, ratios: list[float]) -> DataFrame:
     t = t.withColumn("runs", F.expr("1 + size(filter(sequence(1, CAST(n AS int) - 1), i -> hi[i] <> hi[i - 1]))"))
     t = t.withColumn("mu", F.expr("2 * n1 * n2 / n + 1"))
     t = t.withColumn("zr", F.expr("IF(n1 * n2 = 0, 30D, abs(runs - mu) / sqrt(greatest(1e-9, (mu - 1) * (mu - 2) / (n - 1))))"))
-    # Serial correlation of neighbours.
-    t = t.withColumn("mean", F.expr("aggregate(v, 0D, (a, y) -> a + y) / n"))
-    t = t.withColumn("s2", F.expr("aggregate(v, 0D, (a, y) -> a + pow(y - mean, 2))"))
-    t = t.withColumn("s1", F.expr("aggregate(sequence(1, CAST(n AS int) - 1), 0D, (a, i) -> a + (v[i] - mean) * (v[i - 1] - mean))"))
-    t = t.withColumn("zs", F.expr("IF(s2 = 0, 30D, abs(s1 / s2 + 1 / n) * sqrt(n))"))
-    parts = [_chi2_tail("x8", 7), _chi2_tail("greatest(xc, 1e-6)", 2), f"2 * {_upper_tail('zr')}", f"2 * {_upper_tail('zs')}"]
+    # Serial correlation of neighbours, with letter case and without it (letters in
+    # order are in order whatever their case).
+    for x, z in (("v", "zv"), ("f", "zf")):
+        t = t.withColumn("mean", F.expr(f"aggregate({x}, 0D, (a, y) -> a + y) / n"))
+        t = t.withColumn("s2", F.expr(f"aggregate({x}, 0D, (a, y) -> a + pow(y - mean, 2))"))
+        t = t.withColumn("s1", F.expr(f"aggregate(sequence(1, CAST(n AS int) - 1), 0D, (a, i) -> a + ({x}[i] - mean) * ({x}[i - 1] - mean))"))
+        t = t.withColumn(z, F.expr("IF(s2 = 0, 30D, abs(s1 / s2 + 1 / n) * sqrt(n))"))
+    # The larger of two, so its p-value counts twice.
+    t = t.withColumn("zs", F.expr("greatest(zv, zf)"))
+    parts = [_chi2_tail("x8", 7), _chi2_tail("greatest(xc, 1e-6)", 2), f"2 * {_upper_tail('zr')}", f"4 * {_upper_tail('zs')}"]
     logs = " + ".join(f"-ln(greatest(1e-300, least(1D, {p})))" for p in parts)
     t = t.withColumn("half", F.expr(logs))          # half of Fisher's statistic, 8 degrees of freedom
     t = t.withColumn("refuted", F.expr("exp(-half) * (1 + half + half * half / 2 + half * half * half / 6)"))
@@ -165,14 +271,15 @@ def _battery(tokens: DataFrame, ratios: list[float]) -> DataFrame:
     size = len(FOLDED)
     t = t.withColumn("enc", F.expr(
         "CASE WHEN k = 16 THEN 0 WHEN k = 26 THEN 1 WHEN k = 32 THEN 2 WHEN k = 36 THEN 3 ELSE 4 END"))
-    t = t.withColumn("f", F.expr(f"transform(sequence(1, CAST(n AS int)), i -> instr('{FOLDED}', lower(substr(b, i, 1))) - 1)"))
     # One row, so that the numbers do not stand in every plan node.
-    table = tokens.sparkSession.createDataFrame([(ratios,)], "ratio array<double>")
-    t = t.crossJoin(F.broadcast(table)).withColumn("lr", F.expr(
+    numbers = [F.expr("transform(split('" + ",".join(map(repr, x)) + "', ','), y -> CAST(y AS double))").alias(name)
+               for name, x in (("ratio", ratios), ("ordinary", ordinary))]
+    t = t.crossJoin(F.broadcast(tokens.sparkSession.range(1).select(*numbers))).withColumn("lr", F.expr(
         f"aggregate(sequence(1, CAST(n AS int) - 1), get(ratio, {len(ENCODINGS) * size * size} + enc * {size} + f[0]), "
-        f"(a, i) -> a + get(ratio, enc * {size * size} + f[i - 1] * {size} + f[i]))")).drop("ratio")
-    both = f"2 * least({_upper_tail(z0)}, exp(least(0D, lr)))"
-    return t.withColumn("p0", F.expr(f"IF(refuted < {REFUTED}, 1D, greatest(1e-40, least(1D, {both})))"))
+        f"(a, i) -> a + get(ratio, enc * {size * size} + f[i - 1] * {size} + f[i]))"))
+    best = ", ".join([_upper_tail(z0), "exp(least(0D, lr))", *_turned_round()])
+    t = t.withColumn("p0", F.expr(f"IF(refuted < {REFUTED}, 1D, greatest(1e-40, least(1D, 5 * least({best}))))"))
+    return t.drop("ratio", "ordinary")
 
 
 def _thresholds(histogram: list, rate: float) -> dict[int, int]:
@@ -210,13 +317,14 @@ def secret_scan(docs: DataFrame, rate: float = RATE, id_col: str = "doc_id", tex
         "array_sort(concat(transform(assign, x -> struct(x.s AS s, 0 AS k, x.e AS e)), "
         "transform(access, x -> struct(x.s AS s, 1 AS k, x.e AS e)), transform(hex, x -> struct(x.s AS s, 2 AS k, x.e AS e))))"))
     found = found.withColumn("token", F.expr(
-        "IF(size(token) = 0, token, filter(token, t -> NOT exists(base, b -> b.s < t.e AND t.s < b.e)))"))
+        f"IF(size(token) = 0 OR size(base) = 0, token, {_apart()})"))
     # Only places and counts go on, never texts.
     rows = cut(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.size("assign").alias("n_assign"),
                             F.size("access").alias("n_access"), F.size("hex").alias("n_hex"), "base", "token"))
     tokens = rows.where("size(token) > 0").select("row", F.explode("token").alias("x")).select("row", "x.s", "x.e", "x.m")
     stratum = F.expr("CASE " + " ".join(f"WHEN n >= {a} THEN {a}" for a in sorted(STRATA, reverse=True)) + " ELSE 0 END")
-    judged = (_battery(tokens, _log_ratios(_pairs(src))).withColumn("stratum", stratum)
+    pairs = _pairs(src)
+    judged = (_battery(tokens, _log_ratios(pairs), _ordinary(pairs)).withColumn("stratum", stratum)
               .withColumn("bin", F.expr(f"CAST(least({BINS}, floor(-log10(p0) / {BIN})) AS int)"))
               .select("row", "s", "e", "stratum", "bin", "refuted"))
     judged = cut(judged)

@@ -54,6 +54,56 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert hit.spans == f"random:4:{4 + len(keys[hit.doc_id])}"
 
 
+def test_ordered_alphabets_are_refuted(spark):
+    """The serial test, case aside, refutes letters and digits in order."""
+    from segflow.llm import secret_scan as module
+
+    rnd = random.Random(4)
+    ordered = ["AbCdEfGhIjKlMnOpQrStUvWxYz0123456789", "aBcDeFgHiJkLmNoPqRsTuVwXyZ012345",
+               "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "zYxWvUtSrQpOnMlKjIhGfEdCbA9876543210"]
+    alphabet = module.UPPER + module.LOWER + module.DIGITS
+    rows = [(i, f"see {t} here") for i, t in enumerate(ordered)]
+    rows += [(100 + i, "see " + "".join(rnd.choice(alphabet) for _ in range(40)) + " here") for i in range(40)]
+    got = {r.doc_id: r.n_random for r in secret_scan(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(len(ordered))] == [0] * len(ordered)
+    assert sum(got[100 + i] for i in range(40)) >= 36
+
+
+def test_tokens_apart_from_base_spans(spark):
+    """One walk over both lists gives what comparing all pairs gives."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(60):
+        spots = sorted(rnd.sample(range(200), 2 * rnd.randint(1, 12)))
+        token = [(a, z, "t") for a, z in zip(spots[::2], spots[1::2])]
+        base = sorted((a, 0, a + rnd.randint(1, 30)) for a in rnd.sample(range(200), rnd.randint(0, 12)))
+        rows.append((i, token, base))
+    from segflow.llm import secret_scan as module
+
+    schema = "i int, token array<struct<s:int,e:int,m:string>>, base array<struct<s:int,k:int,e:int>>"
+    got = spark.createDataFrame(rows, schema).selectExpr("i", f"{module._apart()} AS kept").collect()
+    want = {i: [t[0] for t in token if not any(b[0] < t[1] and t[0] < b[2] for b in base)] for i, token, base in rows}
+    assert {r.i: [x.s for x in r.kept] for r in got} == want
+
+
+def test_many_matches_in_one_text(spark):
+    """Time is linear in the matches of a text (a log of hex runs and tokens)."""
+    import time
+
+    def text(n):
+        return " ".join(("%024x" % (k * 2654435761)) if k % 2 else f"key{k:020d}Zq" for k in range(n))
+
+    def seconds(n):
+        t0 = time.perf_counter()
+        r = secret_scan(frame(spark, [(1, text(n))])).collect()[0]
+        assert r.n_hex == n // 2
+        return time.perf_counter() - t0
+
+    seconds(500)
+    few, many = seconds(8_000), seconds(16_000)
+    assert many < 3 * few, (few, many)
+
+
 def test_discovery_thresholds():
     from collections import namedtuple
 
