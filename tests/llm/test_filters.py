@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from segflow.llm import toxicity
 from segflow.llm.decontaminate import find_contaminated
@@ -137,8 +138,8 @@ def judge(url):
 def test_urls(spark):
     pages = spark.createDataFrame([(i, u, "x", "y", "z") for i, u in PAGES],
                                   "page_id long, url string, host string, key string, stack string")
-    for salts in (1, 5):
-        got = filter_urls(pages, rule_table(spark), salts=salts).collect()
+    for sweep in (1, 1000):
+        got = filter_urls(pages, rule_table(spark), sweep=sweep).collect()
         assert sorted((r.page_id is None, r.page_id or 0, *map(str, tuple(r)[1:])) for r in got) == \
             sorted((i is None, i or 0, *map(str, judge(u))) for i, u in PAGES)
     assert filter_urls(pages.limit(0), rule_table(spark)).count() == 0
@@ -156,6 +157,48 @@ def test_nested_rules(spark):
         "a.org/", "a.org/", "x.a.org/", "x.a.org/", "y.x.a.org/p", "org/", "b.org/", "b.org/", None]
 
 
+def test_rules_in_many_ranges(spark, monkeypatch):
+    """Nested path rules on few hosts, ranges of a few events, sweeps of a few pages."""
+    from segflow.llm import url_filter as module
+
+    monkeypatch.setattr(module, "SEGMENT", 7)
+    rnd = random.Random(5)
+    hosts = ["org", "a.org", "b.a.org", "com", "x.com", "\u00e9.com"]
+    step = lambda: "".join(rnd.choice(["/a", "/b", "/ab", "b", "", "\u00e9"]) for _ in range(rnd.randint(0, 5)))
+    rules = list({(h, "/" + step()): (rnd.choice(["allow", "block"]), h, "") for h in hosts for _ in range(40)}.items())
+    rules = [(v, h, p) for (h, p), (v, _, _) in rules] + [("block", "org", ""), ("allow", "a.org", "/a"), ("block", "a.org", "/a")]
+    urls = [f"http://{rnd.choice(hosts + ['z.b.a.org', 'q.com', 'corg'])}/{step()}" for _ in range(400)] + ["http://org", "http://", None]
+
+    def best(url):
+        rest = url.split("://", 1)[1] if url else ""
+        host, _, tail = rest.partition("/")
+        path = "/" + tail if "/" in rest else ""
+        fits = [(len(h + p), v, h + p) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1:] if fits else ("none", None)
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    got = filter_urls(pages, table, default="none", sweep=9).collect()
+    assert {r.page_id: (r.verdict, r.rule) for r in got} == {i: best(u) for i, u in enumerate(urls)} and len(got) == len(urls)
+
+
+def test_cost_does_not_follow_the_rules_of_a_host(spark):
+    import time
+
+    pages = spark.range(20_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a.org/p"), F.col("id")).alias("url"))
+
+    def seconds(n):
+        rules = spark.range(n).select(F.lit("block").alias("verdict"), F.lit("a.org").alias("host"), F.concat(F.lit("/p"), "id").alias("path"))
+        t0 = time.perf_counter()
+        got = filter_urls(pages, rules).where("verdict = 'block'").count()
+        assert got >= n
+        return time.perf_counter() - t0
+
+    seconds(10)
+    few, many = seconds(100), seconds(4_000)
+    assert many < 2.5 * few + 2, (few, many)
+
+
 def test_decontamination(spark):
     rnd = random.Random(11)
     vocabulary = ["".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(3, 8))) for _ in range(800)]
