@@ -336,6 +336,20 @@ WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.patientid = b.patientid)
 GROUP BY patientid"""
 
 
+# The first lies before most patients' first message.
+KNOWN_CUTOFFS = ("1993-01-01 00:00:00", "1997-01-01 00:00:00")
+
+
+def q_known_patients() -> str:
+    ts = _updated_ts()
+    return f"""WITH {derived_cte()},
+b AS (SELECT patientid, CASE WHEN {ts} < TIMESTAMP '{KNOWN_CUTOFFS[0]}' THEN 0
+                             WHEN {ts} < TIMESTAMP '{KNOWN_CUTOFFS[1]}' THEN 1 ELSE 2 END AS batch FROM env),
+n AS (SELECT patientid, batch, count(*) AS n_messages FROM b WHERE patientid IS NOT NULL GROUP BY patientid, batch)
+SELECT patientid, n_messages, CAST(batch AS INTEGER) AS batch FROM n
+WHERE NOT EXISTS (SELECT 1 FROM n e WHERE e.patientid = n.patientid AND e.batch < n.batch)"""
+
+
 FEEDS = ("acme", "road-runner")
 
 
@@ -464,6 +478,7 @@ def queries() -> dict[str, str]:
         "adt_patient_merge": q_latest_patient(),
         "adt_append_once": q_append_once(),
         "adt_new_referrals": q_new_referrals(),
+        "adt_known_patients": q_known_patients(),
         "adt_feed_count": q_feed_count_full(),
         "adt_schema_evolution": q_schema_evolution(),
         "adt_stream_flatten": q_state_filter(),

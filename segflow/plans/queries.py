@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from segflow import session
 from segflow.operators import deadletter, dedupe, extract, filters, patients, shape
+from segflow.operators.known_patients import KnownPatients
 from segflow.operators.replay import DeadLetterStore
 from segflow.plans import etl
 from segflow.plans.oracle import (ARCHIVE_YEAR, DECLARED_SEGMENTS, EVOLUTION_CUTOFF, FEEDS, LAST_REP_COLUMNS,
-                                  REFERRAL_CUTOFF)
+                                  KNOWN_CUTOFFS, REFERRAL_CUTOFF)
 from segflow.sinks import tables
 from segflow.sinks.patient_table import PatientTable
 from segflow.sources import derived, documents, envelope
@@ -239,6 +240,25 @@ def adt_new_referrals(spark, sf_dir):
     return patients.new_patients(batch, known)
 
 
+def adt_known_patients(spark, sf_dir):
+    """K7 over three batches in order of time: each one's new patients against an index
+    that the batches before have filled; the second batch is added twice."""
+    index = KnownPatients(spark, session.work_path(spark, "known"), buckets=16)
+    raw = shape.lower_case_names(derived.derived_envelopes(spark, sf_dir)).select("patientid", "id", "updatedat")
+    ts = patients.parse_updated("updatedat")
+    cuts = [patients.wall_clock(c) for c in KNOWN_CUTOFFS]
+    number = F.when(ts < cuts[0], 0).when(ts < cuts[1], 1).otherwise(2)
+    out = None
+    with session.written(raw.dropDuplicates().withColumn("batch", number), "batches") as rows:
+        for k in (0, 1, 1, 2):
+            batch = rows.where(F.col("batch") == k)
+            if not index.log.find(f"batch-{k}"):
+                found = index.new_patients(batch).withColumn("batch", F.lit(k)).checkpoint(eager=True)
+                out = found if out is None else out.unionByName(found)
+            index.add(batch, f"batch-{k}")
+    return out
+
+
 def adt_feed_count(spark, sf_dir):
     rows = etl.patient_rows(derived.derived_envelopes(spark, sf_dir))
     fanned = tables.fan_out(rows.select("patientid"), FEEDS)
@@ -483,6 +503,7 @@ QUERIES = {
     "adt_append_once": adt_append_once,
     "adt_latest_patient": adt_latest_patient,
     "adt_new_referrals": adt_new_referrals,
+    "adt_known_patients": adt_known_patients,
     "adt_feed_count": adt_feed_count,
     "adt_schema_evolution": adt_schema_evolution,
     "adt_stream_flatten": adt_stream_flatten,
