@@ -492,6 +492,7 @@ def queries() -> dict[str, str]:
         "adt_feed_tables": q_feed_tables(),
         "adt_evolving_append": q_schema_evolution(),
         "adt_archive_written": q_archive_written(),
+        "adt_archive_compacted": q_archive_written(),
         "adt_empty_result": q_empty_result(),
         "adt_declared_schema": q_declared_schema(),
         "adt_message_table": q_dedupe(),

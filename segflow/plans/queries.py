@@ -18,6 +18,7 @@ from segflow.plans import etl
 from segflow.plans.oracle import (ARCHIVE_YEAR, DECLARED_SEGMENTS, EVOLUTION_CUTOFF, FEEDS, LAST_REP_COLUMNS,
                                   KNOWN_CUTOFFS, REFERRAL_CUTOFF)
 from segflow.sinks import tables
+from segflow.sinks.archive import Archive
 from segflow.sinks.patient_table import PatientTable
 from segflow.sources import derived, documents, envelope
 from segflow.sources.catchup import CatchUp, table_reader
@@ -424,6 +425,19 @@ def adt_archive_written(spark, sf_dir):
                        F.get_json_object("value", "$.EVN").alias("evn"), "y", "m", "d")
 
 
+def adt_archive_compacted(spark, sf_dir):
+    """K4 + S5: two nightly runs, then one year packed into fewer files and read."""
+    archive = Archive(spark, session.work_path(spark, "archive-files"))
+    env = derived.derived_envelopes(spark, sf_dir)
+    for k in (0, 1):
+        archive.append(env.where(F.pmod(F.xxhash64("id"), F.lit(2)) == k), f"night-{k}")
+    archive.compact(str(ARCHIVE_YEAR))
+    archive.vacuum()
+    rows = archive.read(str(ARCHIVE_YEAR))
+    return rows.select(F.get_json_object("value", "$.id").alias("id"),
+                       F.get_json_object("value", "$.EVN").alias("evn"), "y", "m", "d")
+
+
 def adt_empty_result(spark, sf_dir):
     """a job whose filter keeps nothing writes no table."""
     from pyspark.errors import AnalysisException
@@ -520,6 +534,7 @@ QUERIES = {
     "adt_feed_tables": adt_feed_tables,
     "adt_evolving_append": adt_evolving_append,
     "adt_archive_written": adt_archive_written,
+    "adt_archive_compacted": adt_archive_compacted,
     "adt_empty_result": adt_empty_result,
     "adt_archive_prefix": adt_archive_prefix,
     "adt_state_filter_sql": adt_state_filter_sql,
