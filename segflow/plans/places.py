@@ -4,6 +4,7 @@ Kept apart from `segflow.layout` on purpose: the oracles compare the layout, whi
 reads places out of raw names, against this table.
 """
 
+# Business names and places.
 PLACES = {}
 for _line in """
 pt_allergy_allergen_type_code_1 al1-2.1
