@@ -206,6 +206,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of fewer than 13 words lose nothing; a null id neither loses words nor counts
     as a source; rows that share an id are no sources for each other, and each
     loses what a smaller id has of its own text; an empty table gives no rows; extra columns are not read.
+
+    Between its two halves the call collects the driver's garbage (`common.release`,
+    about 1.5 s): Spark then drops the shuffle files of the anchors, and the bound on
+    disk depends on that.
     """
     src = texts(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
     sent = arrow_map(src.where("doc_id IS NOT NULL"), "substring", _send_anchors, "h long, doc_id long, known array<long>")
