@@ -230,6 +230,11 @@ def _explode_fields(stacked: DataFrame, k: list[str]) -> DataFrame:
     """(k, seg, fields) -> one row per non-blank component value."""
     fields = stacked.selectExpr(*k, "seg", "posexplode(fields) AS (field, _ftext)") \
         .where("field > 0")
+    return _explode_reps(fields, k)
+
+
+def _explode_reps(fields: DataFrame, k: list[str]) -> DataFrame:
+    """(k, seg, field, _ftext) -> one row per non-blank component value."""
     reps = fields.selectExpr(*k, "seg", "field",
                              f"posexplode(split(_ftext, {sql_str(hl7.REP_SEP)})) AS (_rep0, _rtext)")
     comps = reps.selectExpr(*k, "seg", "field", "_rep0 + 1 AS rep",
@@ -279,31 +284,39 @@ def apply_ignore_lists(long_rows: DataFrame, rules: layout.IgnoreRules | None =
     return long_rows.where(f"NOT {ignore_predicate_sql(rules, numbered=numbered)}")
 
 
+def _unnamed_repetitions(seg: str, rules: layout.IgnoreRules, field_map=layout.FIELD_MAP) -> dict[int, tuple]:
+    """Mapped fields of `seg` -> (named, components, taken): repetitions 1 to `named` have
+    a name at every mapped component, so a text that holds no more of them has none
+    without a name; `taken` lists the (component, repetition) that are named or ignored."""
+    listed = {k: v for k, v in layout.listed_repetitions(field_map).items() if k.startswith(seg + "_")}
+    taken = {tuple(map(int, k.split("_")[1:])) + (r,) for k, reps in listed.items() for r in reps}
+    taken |= {(f, c, r) for s, f, c, r in rules.names if s == seg and r is not None}
+    mapped = sorted(tuple(map(int, k.split("_")[1:])) for k in listed)
+    mapped = [(f, c) for f, c in mapped if not rules.drops(seg, f, c)]
+    out = {}
+    for f in sorted({f for f, _ in mapped}):
+        comps = [c for g, c in mapped if g == f]
+        reps = [listed[f"{seg}_{f}_{c}"] for c in comps]
+        named = min(next(r for r in range(len(x) + 1) if r + 1 not in x) for x in reps)
+        out[f] = (named, comps, sorted((c, r) for g, c, r in taken if g == f))
+    return out
+
+
 def repetition_entries(seg: str, rules: layout.IgnoreRules, field_map=layout.FIELD_MAP) -> str | None:
     """SQL: entries of the mapped positions of `seg` whose repetition has no
     business name in numbered mode, under `seg_field_comp_rep` keys.
 
     Places are compared as numbers; keys are spelt for the entries that stay.
     """
-    listed = {k: v for k, v in layout.listed_repetitions(field_map).items() if k.startswith(seg + "_")}
-    taken = {f"{k}_{r}" for k, reps in listed.items() for r in reps}
-    taken |= {f"{s}_{f}_{c}_{r}" for s, f, c, r in rules.names if s == seg and r is not None}
-    mapped = {k for k in listed if not rules.drops(seg, *map(int, k.split("_")[1:]))}
     fields = ident(_fields_name(seg))
     parts = []
-    for f in sorted({int(k.split("_")[1]) for k in mapped}):
-        keys = sorted(k for k in mapped if int(k.split("_")[1]) == f)
+    for f, (named, comps, spots) in _unnamed_repetitions(seg, rules, field_map).items():
         text = hl7.field_sql(fields, f)
-        # Repetitions 1 to `named` have a name at every mapped place of the field, so a
-        # text that holds no more of them is not split.
-        named = min(next(r for r in range(len(listed[k]) + 1) if r + 1 not in listed[k]) for k in keys)
-        comps = ", ".join(str(k.split("_")[2]) for k in keys)
-        spots = [tuple(map(int, t.split("_")[2:])) for t in sorted(taken) if t.startswith(f"{seg}_{f}_")]
         entries = (f"flatten(transform(split({text}, {sql_str(hl7.REP_SEP)}), (r, i) -> "
                    f"transform(split(r, {sql_str(hl7.COMP_SEP)}), (v, j) -> "
                    f"named_struct('comp', j + 1, 'rep', i + 1, 'value', v))))")
         at = f"e.comp * {hl7.PLACE}L + e.rep"
-        kept = (f"filter({entries}, e -> e.comp IN ({comps}) AND trim(e.value) <> '' AND NOT "
+        kept = (f"filter({entries}, e -> e.comp IN ({', '.join(map(str, comps))}) AND trim(e.value) <> '' AND NOT "
                 + (f"{at} IN ({', '.join(f'{c * hl7.PLACE + r}L' for c, r in spots)})" if spots else "false") + ")")
         spelt = (f"transform({kept}, e -> named_struct('key', concat('{seg}_{f}_', CAST(e.comp AS STRING), '_', "
                  f"CAST(e.rep AS STRING)), 'value', e.value))")
@@ -322,20 +335,23 @@ def extras_rows(envelopes: DataFrame,
                 segments: Iterable[str] = layout.HL7_SEGMENTS,
                 keep: Iterable[str] = ("patientid", "id"),
                 rules: layout.IgnoreRules | None = None,
-                field_map=layout.FIELD_MAP) -> DataFrame:
+                field_map=layout.FIELD_MAP, numbered: bool = False) -> DataFrame:
     """X11 straight from envelopes as rows (keep..., key, value), without
     lambdas: generators explode segments, fields and candidate component
     numbers (1 + the number of `^` in the field bounds any repetition's
     component count); each candidate reads its value like the wide path
     (split when the field has no repetition, regex otherwise).  Same result
-    as `extras_long(flatten_wide(..., extras=True))`.
+    as `extras_long(flatten_wide(..., extras=True))`.  With `numbered` the
+    repetitions of mapped places that have no name follow, under
+    `seg_field_comp_rep` keys, from chained generators over the fields that can
+    hold one.
     """
     rules = rules or layout.ignore_rules()
     k = [ident(x) for x in keep]
     segs = [s.lower() for s in segments]
     ex_fields, ex_keys = [], []
     for s in segs:
-        f, keys = extras_exclusions(s, rules, field_map)
+        f, keys = extras_exclusions(s, rules, field_map, numbered)
         ex_fields += [f"{s}_{i}" for i in f]
         ex_keys += keys
     structs = ", ".join(
@@ -355,4 +371,20 @@ def extras_rows(envelopes: DataFrame,
     value = (f"CASE WHEN NOT contains(ftext, '~') THEN "
              f"{hl7.not_blank_sql(f'get(split(ftext, {sql_str(hl7.COMP_SEP)}), comp - 1)')} "
              f"ELSE nullif(regexp_extract(ftext, {pattern}, 1), '') END")
-    return keyed.selectExpr(*k, "key", f"{value} AS value").where("value IS NOT NULL")
+    out = keyed.selectExpr(*k, "key", f"{value} AS value").where("value IS NOT NULL")
+    if not numbered:
+        return out
+    fields, once, places, taken = [], [], [], []
+    for s in segs:
+        for f, (named, comps, spots) in _unnamed_repetitions(s, rules, field_map).items():
+            fields.append(f"{s}_{f}")
+            if named:
+                once.append(f"{s}_{f}")
+            places += [f"{s}_{f}_{c}" for c in comps]
+            taken += [f"{s}_{f}_{c}_{r}" for c, r in spots]
+    more = stacked.selectExpr(*k, "seg", "posexplode(fields) AS (field, _ftext)").where(
+        f"field > 0 AND {_in_list(field_key, fields)} AND (contains(_ftext, '~') OR NOT {_in_list(field_key, once)})")
+    rows = _explode_reps(more, k).selectExpr(
+        *k, "concat_ws('_', seg, CAST(field AS STRING), CAST(comp AS STRING)) AS place", "rep", "value")
+    rows = rows.where(_in_list("place", places)).selectExpr(*k, "concat_ws('_', place, CAST(rep AS STRING)) AS key", "value")
+    return out.unionByName(rows.where(f"NOT {_in_list('key', taken)}"))

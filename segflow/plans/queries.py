@@ -82,8 +82,7 @@ def adt_full_messages(spark, sf_dir):
 
 def adt_numbered_extras(spark, sf_dir):
     """X13 + X11: in numbered mode, repetitions without a name reach `extras`."""
-    wide = extract.flatten_wide(_envelopes(spark, sf_dir), keep=("patientid", "id"), numbered=True, extras=True)
-    return extract.extras_long(wide, keep=("patientid", "id"))
+    return extract.extras_rows(_envelopes(spark, sf_dir), numbered=True)
 
 
 def adt_extras(spark, sf_dir):

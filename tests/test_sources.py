@@ -105,3 +105,13 @@ def test_observed_appends_name_their_columns(spark, tmp_dir):
     assert sorted(got.columns) == sorted(want.columns) and rows_of(got.select(*want.columns)) == rows_of(want)
     seen = {r.column: r.run for r in tables.committed_columns(spark, path).collect()}
     assert seen["pt_last_name"] == "r0" and seen["insured_ssn"] == "r1"
+
+
+def test_numbered_extras_rows_equal_the_map(spark):
+    env = shape.lower_case_names(derived.derived_envelopes(spark, SF001)).dropDuplicates()
+    odd = spark.createDataFrame([("1", "x", "PID|1||a^b~ ~c^^^^MR~d~e^f||~|||~G"), ("2", "y", "PID|"), ("3", "z", None)],
+                                "patientid string, id string, pid string")
+    for frame in (env, odd):
+        wide = extract.flatten_wide(frame, keep=("patientid", "id"), numbered=True, extras=True)
+        want = extract.extras_long(wide, keep=("patientid", "id"))
+        assert rows_of(extract.extras_rows(frame, numbered=True)) == rows_of(want)
