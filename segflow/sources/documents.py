@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segflow.operators.dedupe import distinct_rows
 from segflow.sources.envelope import ENVELOPE, parse_documents
 
 ROW_GROUP_BYTES = 8 << 20
@@ -56,4 +57,4 @@ def scan_store(spark: SparkSession, path: str, prefix: str = "pid_", key_col: st
                schema=ENVELOPE, dedupe: bool = True) -> DataFrame:
     """S3 on a store: envelopes under a key prefix; see `envelope.scan_documents`."""
     parsed, _ = parse_documents(scan_prefix(spark, path, prefix, key_col), json_col, schema)
-    return parsed.dropDuplicates() if dedupe else parsed
+    return distinct_rows(parsed) if dedupe else parsed
