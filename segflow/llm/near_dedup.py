@@ -40,6 +40,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5         # misses a pair at 0.85 with probability 8e-7
 STALLED = 20                # the last round finds less than one link for so many open groups
 BLOCK = 512                 # partners at a shingle that stand in one block
+ELEMENTS = 1 << 13          # shingles whose permutations stand in memory at once
 FRACTION = 25               # bits of a rank below its level, so at most 128 slots
 
 
@@ -60,8 +61,23 @@ def shingle_sets(words: Words, size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def super_minhash(sets: list[np.ndarray], slots: int = BANDS * ROWS) -> np.ndarray:
-    """SuperMinHash signatures (one row a set); empty sets keep the top value."""
+def super_minhash(sets: list[np.ndarray], slots: int = BANDS * ROWS, block: int = ELEMENTS) -> np.ndarray:
+    """SuperMinHash signatures (one row a set); empty sets keep the top value.
+
+    Each open element holds a permutation of `slots` bytes, so sets are taken in
+    blocks of about `block` elements; a set is never divided.
+    """
+    sizes = np.cumsum([len(s) for s in sets])
+    out, lo = [np.zeros((0, slots), np.uint32)], 0
+    while lo < len(sets):
+        hi = int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + block, "right"))
+        hi = max(lo + 1, hi)
+        out.append(_super_minhash(sets[lo:hi], slots))
+        lo = hi
+    return np.concatenate(out)
+
+
+def _super_minhash(sets: list[np.ndarray], slots: int) -> np.ndarray:
     sig = np.full((len(sets), slots), 0xFFFFFFFF, np.uint32)
     flat = sig.reshape(-1)
     sizes = np.array([len(s) for s in sets])

@@ -1,5 +1,10 @@
-"""Work that must not grow with a task's rows: whole-row dedupe, packed input."""
+"""Work that must not grow with a task's rows: whole-row dedupe, packed input, MinHash blocks."""
 
+import tracemalloc
+
+import numpy as np
+
+from segflow.llm import near_dedup
 from segflow.operators import dedupe
 from segflow.plans import etl, queries
 from segflow.sources import envelope
@@ -40,3 +45,20 @@ def test_json_input_is_packed(spark):
     names = envelope.ENVELOPE.names
     got, want = (sorted(map(str, envelope.read_json_envelopes(spark, p, multiline=False).select(names).collect())) for p in (path, plain))
     assert got == want
+
+
+def test_signatures_in_bounded_memory():
+    """Pipeline: permutations of a block of shingles, not of a whole chunk; same signatures."""
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64)) for n in (0, 1, 3, 40, 30_000, 0, 700, 25_000, 2)] + \
+           [np.unique(rng.integers(0, 1 << 60, 100).astype(np.uint64)) for _ in range(500)]
+    want = near_dedup._super_minhash(sets, 120)
+    for block in (1, 500, 1 << 13, 1 << 30):
+        assert (near_dedup.super_minhash(sets, 120, block) == want).all()
+    assert near_dedup.super_minhash([], 120).shape == (0, 120)
+    small = [s for s in sets if len(s) <= 1000] * 2
+    tracemalloc.start()
+    near_dedup.super_minhash(small, 120)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 << 20, peak
