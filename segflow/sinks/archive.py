@@ -40,10 +40,11 @@ def pack(sizes: list[int], target: int) -> list[list[int]]:
 
 class Archive:
     """One writer at a time.  A read or a compaction names the files of its days, so both
-    are asked for by date prefix (`yyyy`, `yyyy/M` or `yyyy/M/d`)."""
+    are asked for by date prefix (`yyyy`, `yyyy/M` or `yyyy/M/d`).  `compression` is that of
+    the files written from now on (a codec of Spark's text writer); files of any are read."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, compression: str = "none"):
+        self.spark, self.path, self.compression = spark, path.rstrip("/"), compression
         self.log = CommitLog(spark, self.path)
 
     def files(self, prefix: str = "", version: int | None = None) -> DataFrame:
@@ -85,7 +86,7 @@ class Archive:
         version = self._next()
         folder = f"{self.path}/data/version={version}"
         (archive_frame(envelopes, updated).hint("rebalance", "y", "m", "d")
-         .write.mode("overwrite").partitionBy("y", "m", "d").text(folder))
+         .write.mode("overwrite").partitionBy("y", "m", "d").text(folder, compression=self.compression))
         self._commit(run, version, self.files().unionByName(self._written(folder)))
         return True
 
@@ -118,7 +119,7 @@ class Archive:
         rows = self.spark.read.text([p for p, _ in places])
         day = [F.regexp_extract(F.col("_metadata.file_path"), f"/{c}=([0-9]+)/", 1).cast("int").alias(c) for c in ("y", "m", "d")]
         rows = rows.select("value", _plain(F.col("_metadata.file_path")).alias("path"), *day).join(F.broadcast(bins), "path").drop("path")
-        rows.repartition(number, "bin").write.mode("overwrite").partitionBy("y", "m", "d", "bin").text(folder)
+        rows.repartition(number, "bin").write.mode("overwrite").partitionBy("y", "m", "d", "bin").text(folder, compression=self.compression)
         left = self.files().join(bins, "path", "left_anti").select("y", "m", "d", "path", "bytes")
         self._commit(f"compact-{version}", version, left.unionByName(self._written(folder)))
         return len(places) - number
