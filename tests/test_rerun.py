@@ -17,6 +17,7 @@ from segflow.sinks.patient_table import PatientTable, buckets_for
 from segflow.sources import derived
 from segflow.sources.envelope import ENVELOPE
 from tests.conftest import SF001
+from tests.test_restart import shuffled
 
 
 def rows_of(df):
@@ -168,6 +169,59 @@ def test_merge_rewrites_touched_buckets_only(spark, tmp_dir):
     assert table.manifest() == {**now, **{b: 3 for b in now if now[b] == 2}}
 
 
+def patient_lots(spark, lots=5, patients_=40, n=300):
+    """Batches of wide rows: several records of a patient, equal orders, missing ids and
+    times, rows without a patient."""
+    text = F.concat_ws(" ", *[F.sha2(F.concat_ws("-", F.lit(i), "id", "lot"), 512) for i in range(4)])
+    rows = spark.range(lots * n).select(
+        F.when(F.col("id") % 50 != 0, F.concat(F.lit("p"), F.pmod(F.xxhash64("id"), F.lit(patients_)))).alias("patientid"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("2020-01-0"), 1 + F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(9)), F.lit(" 10:00"))).alias("updatedat"),
+        F.when(F.col("id") % 11 != 0, F.col("id").cast("string")).alias("id"), (F.col("id") % lots).alias("lot"))
+    rows = rows.withColumn("text", text).drop("lot").withColumn("lot", F.pmod(F.xxhash64("text"), F.lit(lots)))
+    return [rows.where(F.col("lot") == k).drop("lot") for k in range(lots)]
+
+
+def test_merges_keep_the_newest_of_every_patient(spark, tmp_dir, monkeypatch):
+    """Also where buckets of many parts are dealt anew, and with rows in one word of bits."""
+    from segflow.sinks import patient_table
+
+    monkeypatch.setattr(patient_table, "PARTS", 2)
+    lots = patient_lots(spark, patients_=400, n=900)
+    table = PatientTable(spark, os.path.join(tmp_dir, "p"), buckets=3)
+    seen = None
+    for k, lot in enumerate(lots):
+        table.merge(lot, f"lot-{k}")
+        seen = lot if seen is None else seen.unionByName(lot)
+        want = seen.where("patientid IS NOT NULL").groupBy("patientid").agg(F.max(patients.record_order()).alias("o")).select("patientid", "o.*")
+        got = table.read().select("patientid", patients.record_order().alias("o")).select("patientid", "o.*")
+        assert rows_of(got) == rows_of(want)
+    assert table.read().exceptAll(seen).count() == 0                     # whole rows, as they came
+    files = [len(glob.glob(f"{table._folder(v, b)}/*.parquet")) for b, v in table.manifest().items()]
+    assert len(files) == 3 and {n for _, n in table._manifest().values()} == {1} and set(files) == {1}
+
+
+def test_merge_shuffles_the_rows_that_win(spark, tmp_dir):
+    """Wide rows that stay, or lose, are not shuffled."""
+    table = PatientTable(spark, os.path.join(tmp_dir, "p"), buckets=4)
+    key, text = F.concat(F.lit("p"), F.col("id")).alias("patientid"), F.concat_ws(" ", *[F.sha2(F.concat_ws("-", F.lit(i), "id"), 512) for i in range(16)])
+    def lot(time, every):
+        return spark.range(4000).where(F.col("id") % every == 0).select(key, F.lit(time).alias("updatedat"), F.col("id").cast("string"), text.alias("text"))
+    whole = shuffled(spark, lambda: table.merge(lot("2020-01-02 10:00", 1), "first"))
+    older = shuffled(spark, lambda: table.merge(lot("2020-01-01 10:00", 1), "older"))
+    few = shuffled(spark, lambda: table.merge(lot("2020-01-03 10:00", 40), "few"))
+    assert whole > 4_000_000 and older < 0.2 * whole and few < 0.2 * whole
+    assert {r.updatedat: r["count"] for r in table.read().groupBy("updatedat").count().collect()} == {"2020-01-02 10:00": 3900, "2020-01-03 10:00": 100}
+
+
+def test_merge_stream_query_reads_compressed_files(spark, tmp_dir, monkeypatch):
+    from segflow.plans import queries
+
+    monkeypatch.setattr(session, "work_path", lambda _, name: os.path.join(tmp_dir, f"{name}-{os.urandom(4).hex()}"))
+    assert queries.adt_latest_stream_dead_letter(spark, SF001).where("kind = 'dead'").count() > 0
+    files = glob.glob(os.path.join(tmp_dir, "merge-in-*", "part-*"))
+    assert files and all(f.endswith(".txt.gz") for f in files)
+
+
 def test_failed_merge_is_not_seen(spark, tmp_dir, monkeypatch):
     env, parts = batches(spark)
     table = PatientTable(spark, os.path.join(tmp_dir, "p"), buckets=4)
