@@ -124,7 +124,7 @@ class CatchUp:
             part = [r for k, r in enumerate(todo[:wave]) if r.number == todo[0].number + k]     # neighbours
             rows = self.read(part).withColumn("range", self._number(part))
             env = segments_from_blob(rows, self.blob_col, extra=("range",))
-            tables.append_once(env, self.path, f"ranges-{part[0].number}-{part[-1].number}", partition_by=["range"])
+            tables.append_once(env, self.path, f"ranges-{part[0].number}-{part[-1].number}", partition_by=["range"], compression="zstd")
             todo, done, waves = todo[len(part):], done + len(part), waves + 1
         return done
 
